@@ -47,4 +47,4 @@ def load_all() -> None:
         importlib.import_module(f"tabforge.plans.{mod}")
 
 
-MODULES = ["q_flagship"]
+MODULES = ["q_flagship", "q_relational", "q_groups"]
