@@ -134,3 +134,39 @@ def rules_summary(model: GroupImputerModel) -> DataFrame:
 
 __all__ = ["GroupImputer", "GroupImputerModel", "group_stat", "fill_constant", "fill_global",
            "fill_in_frame", "missing_flags", "presence_flag", "rules_summary", "checked_broadcast"]
+
+
+@dataclass
+class ChainedRuleImputerModel:
+    steps: list[GroupImputerModel]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        for m in self.steps:
+            df = m.transform(df)
+        return df
+
+    def summary(self) -> DataFrame:
+        """Number of rules per (target, level) of every step."""
+        parts = []
+        for m in self.steps:
+            for keys, r in m.levels:
+                parts.append(r.agg(F.count(F.lit(1)).alias("n_rules")).select(
+                    F.lit(m.target).alias("target"), F.lit("|".join(keys)).alias("level"), "n_rules"))
+            if m.fallback is not None:
+                parts.append(m.fallback.agg(F.count(F.col("value")).alias("n_rules")).select(
+                    F.lit(m.target).alias("target"), F.lit("overall").alias("level"), "n_rules"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+
+@dataclass
+class ChainedRuleImputer:
+    """Several group imputers learnt on the same train frame and applied
+    in order, so a later step keys on an earlier step's filled column (fare
+    rules keyed by the filled port, age rules by title)."""
+    steps: Sequence[GroupImputer]
+
+    def fit(self, df: DataFrame) -> ChainedRuleImputerModel:
+        return ChainedRuleImputerModel([s.fit(df) for s in self.steps])
