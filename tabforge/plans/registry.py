@@ -47,4 +47,4 @@ def load_all() -> None:
         importlib.import_module(f"tabforge.plans.{mod}")
 
 
-MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute"]
+MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute", "q_metrics"]
