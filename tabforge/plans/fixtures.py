@@ -112,3 +112,20 @@ SCORES_SQL = " UNION ALL ".join(
  CAST(floor(1000 * least(CAST(1 AS DOUBLE), CAST({w} AS DOUBLE) * o_totalprice / CAST(510000 AS DOUBLE)
  + (1 - CAST({w} AS DOUBLE)) * CAST((o_orderkey * {mult} + 11) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE))) AS DOUBLE) / 1000 AS proba
  FROM orders""" for m, w, mult in SCORE_MODELS)
+
+
+# Number of seed replicates of the seeded score fixture.
+N_SEEDS = 3
+
+
+def seeded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scores`` replicated over seeds with a deterministic +-2/1000 jitter,
+    playing the role of per-seed out-of-fold predictions."""
+    s = scores(spark, sf_dir).withColumn("seed", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(N_SEEDS - 1).cast("long"))))
+    jit = ((F.col("id") * (F.col("seed") + 3)) % 5 - 2).cast("double") / F.lit(1000.0)
+    return s.withColumn("proba", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("proba") + jit)))
+
+
+SEEDED_SQL = f"""SELECT id, model, label, seed,
+ least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), proba + CAST((id * (seed + 3)) % 5 - 2 AS DOUBLE) / CAST(1000 AS DOUBLE))) AS proba
+ FROM scores CROSS JOIN (SELECT unnest(range(0, {N_SEEDS})) AS seed)"""

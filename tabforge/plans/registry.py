@@ -10,16 +10,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from tabforge.plans.fixtures import BASE_SQL, SCORES_SQL
+from tabforge.plans.fixtures import BASE_SQL, SCORES_SQL, SEEDED_SQL
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
-_VIEWS = {"base": BASE_SQL, "scores": SCORES_SQL}
+_VIEWS = {"base": BASE_SQL, "scores": SCORES_SQL, "seeded": SEEDED_SQL}
 
 
 def with_views(sql: str) -> str:
     needed = [v for v in _VIEWS if re.search(rf"\b(FROM|JOIN)\s+{v}\b", sql, re.I)]
+    if "seeded" in needed and "scores" not in needed:
+        needed.insert(0, "scores")
     if not needed:
         return sql
     ctes = ",\n".join(f"{v} AS ({_VIEWS[v]})" for v in needed)
@@ -47,4 +49,4 @@ def load_all() -> None:
         importlib.import_module(f"tabforge.plans.{mod}")
 
 
-MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute", "q_metrics"]
+MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute", "q_metrics", "q_ensemble"]
