@@ -14,7 +14,7 @@ from tabforge.operators.joins import count_lookup, dict_lookup
 from tabforge.operators.features import long_features
 from tabforge.plans.fixtures import base
 from tabforge.plans.q_groups import PREFIX_SQL
-from tabforge.plans.q_relational import FOLD_SQL, TITLE_SQL, TRAIN
+from tabforge.plans.q_relational import FOLD_SQL, TITLE_SQL, is_train
 from tabforge.plans.registry import query
 
 
@@ -24,7 +24,7 @@ WITH c AS (SELECT klass, CAST(row_number() OVER (ORDER BY klass) - 1 AS INTEGER)
 SELECT id, klass_code FROM base LEFT JOIN c USING (klass)""")
 def q_i1(spark, sf):
     b = base(spark, sf)
-    return label_encoder(b.where(TRAIN), "klass").transform(b).select("id", "klass_code")
+    return label_encoder(b.where(is_train()), "klass").transform(b).select("id", "klass_code")
 
 
 # Ordinal codes of the priority class, unmapped -> 4.
@@ -44,7 +44,7 @@ SELECT id, CAST(coalesce(region = 'AMERICA', false) AS INTEGER) AS "region_AMERI
        CAST(coalesce(region = 'MIDDLE EAST', false) AS INTEGER) AS "region_MIDDLE EAST" FROM base""")
 def q_i3(spark, sf):
     b = base(spark, sf)
-    m = one_hot(b.where(TRAIN), "region")
+    m = one_hot(b.where(is_train()), "region")
     return m.transform(b).select("id", *m.columns)
 
 
@@ -127,7 +127,7 @@ c AS (SELECT cross_key, CAST(row_number() OVER (ORDER BY cross_key) - 1 AS INTEG
 SELECT id, cross_key, cross_code FROM t LEFT JOIN c USING (cross_key)""")
 def q_i11(spark, sf):
     b = base(spark, sf).withColumn("cross_key", concat_keys("klass", "category"))
-    return label_encoder(b.where(TRAIN), "cross_key", "cross_code").transform(b).select("id", "cross_key", "cross_code")
+    return label_encoder(b.where(is_train()), "cross_key", "cross_code").transform(b).select("id", "cross_key", "cross_code")
 
 
 @query("q_i12_product_ratio", """
@@ -153,7 +153,7 @@ def q_i13(spark, sf):
     if (c, k) != ("F", "1-URGENT")) + " FROM base")
 def q_i14(spark, sf):
     b = base(spark, sf).withColumn("ck", concat_keys("category", "klass"))
-    m = one_hot(b.where(TRAIN), "ck")
+    m = one_hot(b.where(is_train()), "ck")
     return m.transform(b).select("id", *m.columns)
 
 
@@ -163,7 +163,7 @@ WITH s AS (SELECT avg(amount_a) AS ma, stddev_pop(amount_a) AS sa, avg(amount_b)
 SELECT id, round((amount_a - ma) / sa, 6) AS amount_a_z, round((amount_b - mb) / sb, 6) AS amount_b_z FROM base CROSS JOIN s""")
 def q_i15(spark, sf):
     b = base(spark, sf)
-    m = standard_scaler(b.where(TRAIN), ["amount_a", "amount_b"], "_z")
+    m = standard_scaler(b.where(is_train()), ["amount_a", "amount_b"], "_z")
     return m.transform(b).select("id", F.round("amount_a_z", 6).alias("amount_a_z"),
                                  F.round("amount_b_z", 6).alias("amount_b_z"))
 

@@ -15,7 +15,7 @@ from tabforge.operators.joins import count_lookup, top_n_per_group, with_scalars
 from tabforge.operators.quantiles import group_mode, group_quantiles
 from tabforge.operators.ranking import bucketed_running_sum, dense_ids
 from tabforge.plans.fixtures import base, scores
-from tabforge.plans.q_relational import FOLD_SQL, TITLE_SQL, TRAIN
+from tabforge.plans.q_relational import FOLD_SQL, TITLE_SQL, is_train
 from tabforge.plans.registry import query
 
 RATE_SQL = ("count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, "
@@ -397,8 +397,8 @@ SELECT id, amount_a, label FROM base WHERE origin = 'train'
 UNION ALL SELECT id, amount_a, NULL AS label FROM base WHERE origin = 'serve'""")
 def q_g1(spark, sf):
     b = base(spark, sf)
-    tr = b.where(TRAIN).select("id", "amount_a", "label")
-    te = b.where(~TRAIN).select("id", "amount_a")
+    tr = b.where(is_train()).select("id", "amount_a", "label")
+    te = b.where(~is_train()).select("id", "amount_a")
     return tr.unionByName(te, allowMissingColumns=True)
 
 
@@ -419,7 +419,7 @@ SELECT ticket, count(*) AS n FROM (SELECT ticket FROM base WHERE origin = 'train
                                    SELECT ticket FROM base WHERE origin = 'serve') GROUP BY ticket""")
 def q_g3(spark, sf):
     b = base(spark, sf)
-    u = b.where(TRAIN).select("ticket").unionByName(b.where(~TRAIN).select("ticket"))
+    u = b.where(is_train()).select("ticket").unionByName(b.where(~is_train()).select("ticket"))
     return group_size(u, "ticket")
 
 
@@ -446,8 +446,8 @@ UNION ALL SELECT "column", 'only_serve' FROM (SELECT "column" FROM te EXCEPT SEL
 UNION ALL SELECT "column", 'both' FROM (SELECT "column" FROM tr INTERSECT SELECT "column" FROM te)""")
 def q_g4(spark, sf):
     b = base(spark, sf)
-    tr = _missing_names(b.where(TRAIN).withColumn("label", F.col("label")))
-    te = _missing_names(b.where(~TRAIN).withColumn("label", F.lit(None).cast("int")))
+    tr = _missing_names(b.where(is_train()).withColumn("label", F.col("label")))
+    te = _missing_names(b.where(~is_train()).withColumn("label", F.lit(None).cast("int")))
     return (tr.subtract(te).withColumn("status", F.lit("only_train"))
             .unionByName(te.subtract(tr).withColumn("status", F.lit("only_serve")))
             .unionByName(tr.intersect(te).withColumn("status", F.lit("both"))))

@@ -11,7 +11,7 @@ from tabforge.operators.joins import best_match, rule_fill
 from tabforge.operators.profile import missing_impact, missing_summary
 from tabforge.operators.quantiles import group_mode, group_quantiles
 from tabforge.plans.fixtures import base
-from tabforge.plans.q_relational import TITLE_SQL, TRAIN
+from tabforge.plans.q_relational import TITLE_SQL, is_train
 from tabforge.plans.registry import query
 from tabforge.plans.sqlgen import erfc_sql, mode_sql
 
@@ -26,14 +26,14 @@ def q_j1(spark, sf):
 SELECT id, coalesce(amount_a, (SELECT median(amount_a) FROM base WHERE origin = 'train')) AS amount_a FROM base""")
 def q_j2(spark, sf):
     b = base(spark, sf)
-    return fill_global(b, "amount_a", "median", source=b.where(TRAIN)).select("id", "amount_a")
+    return fill_global(b, "amount_a", "median", source=b.where(is_train())).select("id", "amount_a")
 
 
 @query("q_j3_mode_fill", f"""
 SELECT id, coalesce(region, ({mode_sql("region", "base WHERE origin = 'train'")})) AS region FROM base""")
 def q_j3(spark, sf):
     b = base(spark, sf)
-    return fill_global(b, "region", "mode", source=b.where(TRAIN)).select("id", "region")
+    return fill_global(b, "region", "mode", source=b.where(is_train())).select("id", "region")
 
 
 @query("q_j4_in_frame_group_median", """
@@ -50,7 +50,7 @@ SELECT id, coalesce(amount_a, r.v, g.v0) AS amount_a FROM base LEFT JOIN r ON ba
 CROSS JOIN g""")
 def q_j5(spark, sf):
     b = base(spark, sf)
-    return GroupImputer("amount_a", [["category", "region"]]).fit(b.where(TRAIN)).transform(b).select("id", "amount_a")
+    return GroupImputer("amount_a", [["category", "region"]]).fit(b.where(is_train())).transform(b).select("id", "amount_a")
 
 
 J6_SQL = f"""
@@ -82,7 +82,7 @@ def j6_imputer() -> ChainedRuleImputer:
 
 def j6_frame(spark, sf):
     b = base(spark, sf).withColumn("title", title("full_name"))
-    return b, j6_imputer().fit(b.where(TRAIN))
+    return b, j6_imputer().fit(b.where(is_train()))
 
 
 @query("q_j6_fit_transform_rule_imputer", J6_SQL + "\nSELECT id, region, amount_b, amount_a FROM s3")
@@ -103,14 +103,14 @@ SELECT base.id, coalesce(base.region, best.pick{fallback}) AS region FROM base L
 
 def _range(spark, sf, key, v, score, keep=None, higher=False, fallback_mode=False):
     b = base(spark, sf)
-    tr = b.where(TRAIN & F.col("region").isNotNull())
+    tr = b.where(is_train() & F.col("region").isNotNull())
     q = group_quantiles(tr, v, [0.25, 0.5, 0.75], [key, "region"], ["q25", "med", "q75"])
     mm = tr.where(F.col(v).isNotNull()).groupBy(key, "region").agg(F.min(v).alias("mn"), F.max(v).alias("mx"))
     cands = q.join(mm, [key, "region"]).where(F.col("med").isNotNull())
     out = best_match(b, "id", "region", [key], v, cands, "region", score(F.col(v)), keep=keep and keep(F.col(v)),
                      higher_is_better=higher)
     if fallback_mode:
-        mode = group_mode(b.where(TRAIN), "region", None, "value")
+        mode = group_mode(b.where(is_train()), "region", None, "value")
         out = rule_fill(out, "region", [], default=mode)
     return out.select("id", "region")
 
@@ -204,8 +204,8 @@ SELECT klass, a.v AS train_value, b.v AS serve_value, round(abs(a.v - b.v), 6) A
        CAST(abs(a.v - b.v) > 0.01 AS INTEGER) AS leak_flag FROM a JOIN b USING (klass)""")
 def q_j15(spark, sf):
     b = base(spark, sf)
-    a = group_quantiles(b.where(TRAIN), "amount_a", [0.5], ["klass"], ["train_value"])
-    s = group_quantiles(b.where(~TRAIN), "amount_a", [0.5], ["klass"], ["serve_value"])
+    a = group_quantiles(b.where(is_train()), "amount_a", [0.5], ["klass"], ["train_value"])
+    s = group_quantiles(b.where(~is_train()), "amount_a", [0.5], ["klass"], ["serve_value"])
     d = F.abs(F.col("train_value") - F.col("serve_value"))
     return a.join(s, "klass").select("klass", "train_value", "serve_value", F.round(d, 6).alias("diff"),
                                      (d > 0.01).cast("int").alias("leak_flag"))
@@ -219,7 +219,7 @@ g AS (SELECT klass, title, round(avg(amount_a), 6) AS group_mean, median(amount_
 SELECT klass, title, n_null, group_mean, group_median, group_count FROM nul LEFT JOIN g USING (klass, title)""")
 def q_j16(spark, sf):
     t = base(spark, sf).withColumn("title", title("full_name"))
-    tr = t.where(TRAIN & F.col("title").isNotNull())
+    tr = t.where(is_train() & F.col("title").isNotNull())
     nul = t.where(F.col("amount_a").isNull() & F.col("title").isNotNull()).groupBy("klass", "title").agg(
         F.count(F.lit(1)).alias("n_null"))
     g = tr.groupBy("klass", "title").agg(F.round(F.avg("amount_a"), 6).alias("group_mean"),

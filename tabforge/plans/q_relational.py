@@ -16,11 +16,14 @@ from tabforge.plans.fixtures import base, read_table, scores
 from tabforge.plans.registry import query
 
 TITLE_SQL = r"nullif(regexp_extract(full_name, ' ([A-Za-z]+)\.', 1), '')"
-TRAIN = F.col("origin") == "train"
+
+
+def is_train():
+    return F.col("origin") == "train"
 
 
 def _train(spark, sf):
-    return base(spark, sf).where(TRAIN)
+    return base(spark, sf).where(is_train())
 
 
 # ---------------------------------------------------------------- B: projection / filter
@@ -108,8 +111,8 @@ SELECT id, 'train' AS dataset, label AS target FROM base WHERE origin = 'train'
 UNION ALL SELECT id, 'test' AS dataset, -1 AS target FROM base WHERE origin = 'serve'""")
 def q_b11(spark, sf):
     b = base(spark, sf)
-    tr = b.where(TRAIN).select("id", F.lit("train").alias("dataset"), F.col("label").alias("target"))
-    te = b.where(~TRAIN).select("id", F.lit("test").alias("dataset"), F.lit(-1).alias("target"))
+    tr = b.where(is_train()).select("id", F.lit("train").alias("dataset"), F.col("label").alias("target"))
+    te = b.where(~is_train()).select("id", F.lit("test").alias("dataset"), F.lit(-1).alias("target"))
     return tr.unionByName(te)
 
 
@@ -192,7 +195,7 @@ SELECT id, coalesce(t.amount_a, r2.v2, r1.v1, r0.v0) AS amount_a
 FROM t LEFT JOIN r2 ON t.klass = r2.klass AND t.title = r2.title LEFT JOIN r1 ON t.title = r1.title CROSS JOIN r0""")
 def q_c4(spark, sf):
     b = base(spark, sf).withColumn("title", title("full_name"))
-    m = GroupImputer("amount_a", [["klass", "title"], ["title"]]).fit(b.where(TRAIN))
+    m = GroupImputer("amount_a", [["klass", "title"], ["title"]]).fit(b.where(is_train()))
     return m.transform(b).select("id", "amount_a")
 
 
@@ -219,7 +222,7 @@ SELECT base.id, coalesce(base.region, best.pick) AS region FROM base LEFT JOIN b
 def _range_fit(spark, sf, score_fn):
     b = base(spark, sf)
     from tabforge.operators.quantiles import group_quantiles
-    rng = group_quantiles(b.where(TRAIN & F.col("region").isNotNull()), "amount_b", [0.25, 0.5, 0.75],
+    rng = group_quantiles(b.where(is_train() & F.col("region").isNotNull()), "amount_b", [0.25, 0.5, 0.75],
                           ["klass", "region"], ["q25", "med", "q75"])
     return best_match(b, "id", "region", ["klass"], "amount_b", rng, "region",
                       score_fn(F.col("amount_b"))).select("id", "region")
@@ -320,10 +323,10 @@ SELECT id, prefix, round(coalesce(r.te, g.te0), 6) AS target_mean FROM t LEFT JO
 WHERE origin = 'serve'""")
 def q_c12(spark, sf):
     b = base(spark, sf).withColumn("prefix", prefix_class("ticket"))
-    tr = b.where(TRAIN)
+    tr = b.where(is_train())
     rules = group_stat(tr.withColumn("y", F.col("label").cast("double")), "y", ["prefix"], "mean")
     overall = tr.agg(F.avg(F.col("label").cast("double")).alias("value"))
-    out = rule_fill(b.where(~TRAIN).withColumn("target_mean", F.lit(None).cast("double")), "target_mean",
+    out = rule_fill(b.where(~is_train()).withColumn("target_mean", F.lit(None).cast("double")), "target_mean",
                     [(["prefix"], rules)], default=overall)
     return out.select("id", "prefix", F.round("target_mean", 6).alias("target_mean"))
 

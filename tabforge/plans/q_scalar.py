@@ -10,10 +10,13 @@ from tabforge.functions.text import (concat_keys, first_char, first_int, prefix_
                                      str_len, title)
 from tabforge.plans.fixtures import base
 from tabforge.plans.q_groups import PREFIX_SQL
-from tabforge.plans.q_relational import TITLE_SQL, TRAIN
+from tabforge.plans.q_relational import TITLE_SQL, is_train
 from tabforge.plans.registry import query
 
-AGE = F.col("amount_a") / F.lit(100.0)
+def age():
+    return F.col("amount_a") / F.lit(100.0)
+
+
 AGE_SQL = "(amount_a / 100.0)"
 
 
@@ -103,14 +106,14 @@ def q_h11(spark, sf):
 SELECT id, CASE WHEN {AGE_SQL} > 0 AND {AGE_SQL} <= 12 THEN 0 WHEN {AGE_SQL} > 12 AND {AGE_SQL} <= 18 THEN 1
   WHEN {AGE_SQL} > 18 AND {AGE_SQL} <= 40 THEN 2 WHEN {AGE_SQL} > 40 AND {AGE_SQL} <= 100 THEN 3 END AS age_bin FROM base""")
 def q_h12(spark, sf):
-    return base(spark, sf).select("id", cut(AGE, [0, 12, 18, 40, 100]).alias("age_bin"))
+    return base(spark, sf).select("id", cut(age(), [0, 12, 18, 40, 100]).alias("age_bin"))
 
 
 @query("q_h13_cut_left_closed", f"""
 SELECT id, CASE WHEN {AGE_SQL} >= 0 AND {AGE_SQL} < 18 THEN 'young' WHEN {AGE_SQL} >= 18 AND {AGE_SQL} < 60 THEN 'adult'
   WHEN {AGE_SQL} >= 60 AND {AGE_SQL} < 80 THEN 'senior' END AS age_group FROM base""")
 def q_h13(spark, sf):
-    return base(spark, sf).select("id", labelled(cut(AGE, [0, 18, 60, 80], right=False),
+    return base(spark, sf).select("id", labelled(cut(age(), [0, 18, 60, 80], right=False),
                                                  ["young", "adult", "senior"]).alias("age_group"))
 
 
@@ -126,7 +129,7 @@ def q_h14(spark, sf):
 SELECT id, coalesce(CASE WHEN {AGE_SQL} > 0 AND {AGE_SQL} <= 12 THEN 0 WHEN {AGE_SQL} > 12 AND {AGE_SQL} <= 18 THEN 1
   WHEN {AGE_SQL} > 18 AND {AGE_SQL} <= 40 THEN 2 WHEN {AGE_SQL} > 40 AND {AGE_SQL} <= 100 THEN 3 END, -1) AS age_code FROM base""")
 def q_h15(spark, sf):
-    return base(spark, sf).select("id", category_codes(cut(AGE, [0, 12, 18, 40, 100])).alias("age_code"))
+    return base(spark, sf).select("id", category_codes(cut(age(), [0, 12, 18, 40, 100])).alias("age_code"))
 
 
 @query("q_h16_quantile_bins", """
@@ -135,7 +138,7 @@ SELECT id, CASE WHEN amount_b IS NULL OR amount_b < q[1] OR amount_b > q[len(q)]
   ELSE CAST(len(list_filter(q, lambda x: x < amount_b)) - 1 AS INTEGER) END AS amount_q FROM base CROSS JOIN e""")
 def q_h16(spark, sf):
     b = base(spark, sf)
-    edges = quantile_edges(b.where(TRAIN), "amount_b", 4)
+    edges = quantile_edges(b.where(is_train()), "amount_b", 4)
     return b.select("id", qcut("amount_b", edges).alias("amount_q"))
 
 
@@ -144,7 +147,7 @@ SELECT id, CASE WHEN amount_a IS NULL THEN 'unknown' WHEN {AGE_SQL} < 5 THEN 'in
   WHEN {AGE_SQL} < 20 THEN 'teen' WHEN {AGE_SQL} < 60 THEN 'adult' ELSE 'senior' END AS life_stage FROM base""")
 def q_h17(spark, sf):
     lad = [(5, "infant"), (13, "child"), (20, "teen"), (60, "adult")]
-    return base(spark, sf).select("id", bucket(AGE, lad, "senior", "unknown").alias("life_stage"))
+    return base(spark, sf).select("id", bucket(age(), lad, "senior", "unknown").alias("life_stage"))
 
 
 @query("q_h18_conditional_score", """

@@ -14,7 +14,7 @@ from tabforge.operators.profile import chi2_yates, correlations, vif
 from tabforge.operators.quantiles import group_mode, group_quantiles
 from tabforge.plans.fixtures import base
 from tabforge.plans.q_groups import PREFIX_SQL
-from tabforge.plans.q_relational import TITLE_SQL, TRAIN
+from tabforge.plans.q_relational import TITLE_SQL, is_train
 from tabforge.plans.registry import query
 from tabforge.plans.sqlgen import erfc_sql
 
