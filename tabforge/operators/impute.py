@@ -170,3 +170,53 @@ class ChainedRuleImputer:
 
     def fit(self, df: DataFrame) -> ChainedRuleImputerModel:
         return ChainedRuleImputerModel([s.fit(df) for s in self.steps])
+
+
+@dataclass
+class ChainedLinearModel:
+    means: dict
+    steps: list  # (target, inputs, fitted LinearRegressionModel)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import VectorAssembler
+        targets = list(self.means)
+        cur = df.withColumns({f"_obs_{c}": F.col(c).isNotNull() for c in targets}).fillna(self.means)
+        for c, inputs, lr in self.steps:
+            x = VectorAssembler(inputCols=inputs, outputCol="_x").transform(cur)
+            x = lr.transform(x)
+            cur = x.withColumn(c, F.when(F.col(f"_obs_{c}"), F.col(c)).otherwise(F.col("_pred"))).drop("_x", "_pred")
+        return cur.drop(*[f"_obs_{c}" for c in targets])
+
+
+@dataclass
+class ChainedLinearImputer:
+    """Iterative (chained) imputation. Start from column means, then for
+    ``max_rounds`` rounds regress each target on the other targets and the
+    predictors with Spark ``LinearRegression`` (fit on rows where the target
+    was observed) and replace only the missing cells. The frame is
+    checkpointed to the shared checkpoint folder after every round."""
+    targets: Sequence[str]
+    predictors: Sequence[str]
+    max_rounds: int = 10
+
+    def fit(self, df: DataFrame) -> ChainedLinearModel:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.regression import LinearRegression
+
+        from tabforge.session import cut_lineage
+        targets = list(self.targets)
+        row = df.agg(*[F.avg(c).alias(c) for c in targets]).first()
+        means = {c: float(row[c]) for c in targets}
+        cur = df.withColumns({f"_obs_{c}": F.col(c).isNotNull() for c in targets}).fillna(means)
+        steps = []
+        for _ in range(self.max_rounds):
+            for c in targets:
+                inputs = [t for t in targets if t != c] + list(self.predictors)
+                x = VectorAssembler(inputCols=inputs, outputCol="_x").transform(cur)
+                lr = LinearRegression(featuresCol="_x", labelCol=c, predictionCol="_pred").fit(
+                    x.where(F.col(f"_obs_{c}")))
+                cur = lr.transform(x).withColumn(c, F.when(F.col(f"_obs_{c}"), F.col(c)).otherwise(F.col("_pred"))) \
+                    .drop("_x", "_pred")
+                steps.append((c, inputs, lr))
+            cur = cut_lineage(cur)
+        return ChainedLinearModel(means, steps)

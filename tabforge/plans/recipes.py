@@ -29,3 +29,28 @@ def basic_recipe(b: DataFrame, origin_col: str = "origin") -> DataFrame:
     x = x.withColumn("has_unit", F.col("unit_code").isNotNull().cast("int"))
     x = dict_lookup(x, "title", TITLE_ORDINAL, "title_code", default=4)
     return x.select("id", *BASIC_FEATURES, "label")
+
+
+MODEL_FEATURES = BASIC_FEATURES + ["amount_b"]
+_FRAMES: dict = {}
+
+
+def model_frame(spark, sf_dir: str, k: int = 3) -> DataFrame:
+    """Train rows of the basic recipe plus the (train-median filled) amount_b
+    and a stratified fold column; materialised once per session and scale in
+    the shared checkpoint folder, so every model query reuses it and the
+    lineage stays short."""
+    from tabforge.operators.folds import stratified_folds
+    from tabforge.operators.impute import GroupImputer
+    from tabforge.plans.fixtures import base
+    from tabforge.session import cut_lineage
+
+    key = (id(spark), sf_dir, k)
+    if key not in _FRAMES:
+        b = base(spark, sf_dir)
+        feats = basic_recipe(b)
+        amt = GroupImputer("amount_b", [["klass"]]).fit(b.where(F.col("origin") == "train")).transform(b)
+        x = feats.join(amt.select("id", "amount_b", "origin", "ticket"), "id")
+        x = stratified_folds(x, "id", "label", k)
+        _FRAMES[key] = cut_lineage(x)
+    return _FRAMES[key]
