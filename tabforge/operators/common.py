@@ -43,3 +43,14 @@ def round_cols(df: DataFrame, cols: Iterable[str], digits: int = 6) -> DataFrame
 def flag(cond: Column) -> Column:
     """Boolean to 0/1 int where a null comparison counts as false."""
     return F.coalesce(cond, F.lit(False)).cast("int")
+
+
+def safe_corr(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation over pairwise-complete rows that is null (not an
+    ANSI divide-by-zero error) when either side is constant."""
+    x = F.col(x) if isinstance(x, str) else x
+    y = F.col(y) if isinstance(y, str) else y
+    xm = F.when(y.isNotNull(), x.cast("double"))
+    ym = F.when(x.isNotNull(), y.cast("double"))
+    den = F.stddev_pop(xm) * F.stddev_pop(ym)
+    return F.try_divide(F.covar_pop(xm, ym), F.nullif(den, F.lit(0.0)))

@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.operators.common import safe_corr
+
 from tabforge.operators.common import as_list
 from tabforge.operators.joins import pair_join
 
@@ -92,7 +94,7 @@ def pair_diversity(df: DataFrame, id_col: str = "id", model_col: str = "model",
     g = p.groupBy("item_a", "item_b").agg(
         F.avg((F.col(f"{pred}_a") == F.col(f"{pred}_b")).cast("double")).alias("agreement"),
         a.alias("both_right"), d.alias("both_wrong"), b.alias("only_a"), c.alias("only_b"),
-        F.corr(F.col(f"{pred}_a").cast("double"), F.col(f"{pred}_b").cast("double")).alias("corr"))
+        safe_corr(F.col(f"{pred}_a").cast("double"), F.col(f"{pred}_b").cast("double")).alias("corr"))
     ad = F.col("both_right").cast("double") * F.col("both_wrong")
     bc = F.col("only_a").cast("double") * F.col("only_b")
     return g.select("item_a", "item_b", "agreement", F.col("both_right").cast("long").alias("both_right"),

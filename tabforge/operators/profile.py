@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.operators.common import safe_corr
 from tabforge.operators.joins import column_pairs
 
 
@@ -77,7 +78,7 @@ def correlations(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFra
     """K1: Pearson correlation of every i<j pair (pairwise complete) in one
     aggregation, long form ``(f1, f2, corr)``."""
     pairs = column_pairs(cols)
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.agg(*[safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
     st = F.explode(F.array(*[F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"),
                                       F.round(F.col(f"`{a}|{b}`"), digits).alias("corr")) for a, b in pairs]))
     return wide.select(st.alias("s")).select("s.*")
@@ -92,7 +93,7 @@ def _moments(df: DataFrame, cols: Sequence[str], centred: bool) -> np.ndarray:
     for c in cols:
         full = full.where(F.col(c).isNotNull())
     if centred:
-        exprs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"m{i}_{j}")
+        exprs = [safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"m{i}_{j}")
                  for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
     else:
         exprs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"m{i}_{j}")

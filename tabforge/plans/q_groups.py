@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabforge.operators.common import safe_corr
+
 from tabforge.functions.text import prefix_class, title
 from tabforge.operators.common import flag
 from tabforge.operators.folds import stratified_folds
@@ -461,7 +463,7 @@ _FEATS = ["amount_a", "amount_b", "n_sib", "n_par"]
     for c in _FEATS))
 def q_g5(spark, sf):
     b = base(spark, sf)
-    wide = b.agg(*[F.corr(c, F.col("label").cast("double")).alias(c) for c in _FEATS])
+    wide = b.agg(*[safe_corr(c, F.col("label").cast("double")).alias(c) for c in _FEATS])
     kept = F.filter(F.array(*[F.when(F.abs(F.col(c)) > 0.05, F.lit(c)) for c in _FEATS]), lambda x: x.isNotNull())
     allf = F.array(*[F.lit(c) for c in _FEATS])
     x = wide.select(kept.alias("kept"), F.array_except(allf, kept).alias("removed"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabforge.operators.common import safe_corr
+
 from tabforge.functions.bins import qcut, quantile_edges
 from tabforge.functions.text import prefix_class, title
 from tabforge.operators.common import flag
@@ -47,7 +49,7 @@ FEATS = ["amount_a", "amount_b", "n_sib", "n_par"]
     f"SELECT '{c}' AS feature, round(corr(CAST({c} AS DOUBLE), CAST(label AS DOUBLE)), 6) AS corr FROM base" for c in FEATS))
 def q_k3(spark, sf):
     b = base(spark, sf)
-    wide = b.agg(*[F.round(F.corr(F.col(c).cast("double"), F.col("label").cast("double")), 6).alias(c) for c in FEATS])
+    wide = b.agg(*[F.round(safe_corr(F.col(c).cast("double"), F.col("label").cast("double")), 6).alias(c) for c in FEATS])
     st = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in FEATS]))
     return wide.select(st.alias("s")).select("s.*")
 
@@ -166,7 +168,7 @@ def q_k9(spark, sf):
 SELECT round(corr(CAST(id AS DOUBLE), CAST(label AS DOUBLE)), 6) AS corr,
        CAST(abs(corr(CAST(id AS DOUBLE), CAST(label AS DOUBLE))) > 0.1 AS INTEGER) AS alert FROM base""")
 def q_k10(spark, sf):
-    c = F.corr(F.col("id").cast("double"), F.col("label").cast("double"))
+    c = safe_corr(F.col("id").cast("double"), F.col("label").cast("double"))
     return base(spark, sf).agg(F.round(c, 6).alias("corr"), (F.abs(c) > 0.1).cast("int").alias("alert"))
 
 
