@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.common import as_list, checked_broadcast
+from tabforge.session import cut_lineage
 from tabforge.operators.joins import rule_fill
-from tabforge.operators.quantiles import group_mode, group_quantiles
+from tabforge.operators.quantiles import group_mode, group_quantiles, group_quantiles_sets
 
 
 def group_stat(df: DataFrame, value: str, keys: Sequence[str], stat: str = "median",
@@ -82,13 +83,17 @@ class GroupImputer:
         # every level reads the same narrow projection: persist it once
         cols = sorted({c for keys in self.levels for c in keys} | {self.target})
         df = df.select(*cols).persist()
-        levels = []
-        for keys in self.levels:
-            r = group_stat(df, self.target, list(keys), self.stat, "value", self.strategy)
-            levels.append((list(keys), r.where(F.col("value").isNotNull()).persist()))
-        fb = None
-        if self.overall:
-            fb = group_stat(df, self.target, [], self.stat, "value", self.strategy).persist()
+        sets = [list(k) for k in self.levels] + ([[]] if self.overall else [])
+        if self.stat == "median":
+            # one fused exact-quantile pass for every level (grouping-sets style)
+            stats = group_quantiles_sets(df, self.target, [0.5], sets, ["value"], strategy=self.strategy)
+        else:
+            stats = [group_stat(df, self.target, ks, self.stat, "value", self.strategy) for ks in sets]
+        stats = [cut_lineage(r) for r in stats] if self.stat != "median" else stats
+        levels = [(list(ks), r.where(F.col("value").isNotNull()))
+                  for ks, r in zip(sets[:len(self.levels)], stats)]
+        fb = stats[-1] if self.overall else None
+        df.unpersist()
         return GroupImputerModel(self.target, levels, fb, self.constant, self.out)
 
 

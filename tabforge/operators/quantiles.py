@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.operators.common import as_list, checked_broadcast
+from tabforge.session import cut_lineage
 
 
 def _clean(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
@@ -122,10 +123,18 @@ def _bucketed(src: DataFrame, keys: list[str], probs: list[float], names: list[s
     out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n)
                                    for i, n in enumerate(names)])
     if keys:
-        return groups.join(out, keys, "left")
-    # global: always one row, null when the column has no values
-    one = spark.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names])
-    return one.unionByName(out).agg(*[F.max(n).alias(n) for n in names])
+        result = groups.join(out, keys, "left")
+    else:
+        # global: always one row, null when the column has no values
+        one = spark.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names])
+        result = one.unionByName(out).agg(*[F.max(n).alias(n) for n in names])
+    # The result is small (groups x probs): materialise it in the shared
+    # checkpoint folder so later plans do not carry (and re-analyse) this
+    # lineage, then release the intermediate caches.
+    result = cut_lineage(result)
+    for cached in (counts, tb, need):
+        cached.unpersist()
+    return result
 
 
 def group_median(df: DataFrame, value: str, keys=None, name: str = "median", **kw) -> DataFrame:
@@ -146,3 +155,39 @@ def group_mode(df: DataFrame, value: str, keys=None, name: str = "mode") -> Data
     vc = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     best = vc.groupBy(*keys).agg(F.min(F.struct((-F.col("_c")).alias("nc"), F.col("_v").alias("v"))).alias("_m"))
     return best.select(*keys, F.col("_m.v").alias(name))
+
+
+def _placeholder(dtype: str):
+    if dtype == "string":
+        return F.lit("")
+    if dtype == "boolean":
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
+def group_quantiles_sets(df: DataFrame, value: str, probs: Sequence[float], key_sets: Sequence[Sequence[str]],
+                         names: Sequence[str] | None = None, strategy: str = "bucketed",
+                         n_buckets: int = 65536, accuracy: int = 10000) -> list[DataFrame]:
+    """Quantiles for several groupings at once (like GROUPING SETS): each row
+    is expanded once per key set, tagged with the set's level, and a single
+    bucketed computation runs over (level, keys). Returns one DataFrame per
+    key set, in order."""
+    key_sets = [list(k) for k in key_sets]
+    names = _names(probs, names)
+    if len(key_sets) <= 1 or strategy != "bucketed":
+        return [group_quantiles(df, value, probs, ks, names, strategy, n_buckets, accuracy) for ks in key_sets]
+    all_keys: list[str] = []
+    for ks in key_sets:
+        all_keys += [k for k in ks if k not in all_keys]
+    types = dict(df.dtypes)
+    structs = []
+    for i, ks in enumerate(key_sets):
+        ok = F.lit(True)
+        for k in ks:
+            ok = ok & F.col(k).isNotNull()
+        structs.append(F.struct(F.lit(i).alias("_lvl"), ok.alias("_ok"),
+                                *[(F.col(k) if k in ks else _placeholder(types[k])).alias(k) for k in all_keys]))
+    x = (df.select(F.col(value).alias("_val"), F.explode(F.array(*structs)).alias("_s"))
+           .select("_val", "_s.*").where(F.col("_ok")).drop("_ok"))
+    res = group_quantiles(x, "_val", probs, ["_lvl"] + all_keys, names, strategy, n_buckets, accuracy)
+    return [res.where(F.col("_lvl") == i).select(*ks, *names) for i, ks in enumerate(key_sets)]
