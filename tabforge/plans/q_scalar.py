@@ -169,3 +169,12 @@ SELECT id, round(amount_a / nullif(n_sib, 0), 6) AS per_sib, round(amount_b / (n
 def q_h19(spark, sf):
     return base(spark, sf).select("id", F.round(safe_ratio("amount_a", "n_sib"), 6).alias("per_sib"),
                                   F.round(F.col("amount_b") / (F.col("n_par") + F.lit(1e-6)), 6).alias("per_par"))
+
+
+@query("q_h20_timestamp_stamp")
+def q_h20(spark, sf):
+    """Output names stamped with the run time (no oracle: the clock differs)."""
+    from tabforge.functions.numeric import file_stamp
+    g = base(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return g.select("category", "n", F.concat(F.lit("pred_"), F.col("category"), F.lit("_"), file_stamp(),
+                                             F.lit(".csv")).alias("file_name"))
