@@ -9,12 +9,12 @@ from the frame being transformed unless the in-frame variant is asked for.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.operators.common import as_list, checked_broadcast
+from tabforge.operators.common import as_list
 from tabforge.session import cut_lineage
 from tabforge.operators.joins import rule_fill
 from tabforge.operators.quantiles import group_mode, group_quantiles, group_quantiles_sets
@@ -77,7 +77,6 @@ class GroupImputer:
     constant: object = None
     out: str | None = None
     strategy: str = "bucketed"
-    _cache: list = field(default_factory=list, repr=False)
 
     def fit(self, df: DataFrame) -> GroupImputerModel:
         # every level reads the same narrow projection: persist it once
@@ -138,7 +137,7 @@ def rules_summary(model: GroupImputerModel) -> DataFrame:
 
 
 __all__ = ["GroupImputer", "GroupImputerModel", "group_stat", "fill_constant", "fill_global",
-           "fill_in_frame", "missing_flags", "presence_flag", "rules_summary", "checked_broadcast"]
+           "fill_in_frame", "missing_flags", "presence_flag", "rules_summary"]
 
 
 @dataclass

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.functions.text import concat_keys, prefix_class, title
+from tabforge.functions.text import concat_keys, prefix_class
 from tabforge.operators.common import flag
 from tabforge.operators.encode import (family_features, gated, label_encoder, one_hot, one_hot_fixed,
                                        rare_bucket, standard_scaler, target_mean_oof)
 from tabforge.operators.folds import stratified_folds
-from tabforge.operators.impute import GroupImputer
 from tabforge.operators.joins import count_lookup, dict_lookup
 from tabforge.operators.features import long_features
 from tabforge.plans.fixtures import base

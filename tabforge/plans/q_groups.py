@@ -236,13 +236,13 @@ PREFIX_SQL = r"""CASE WHEN ticket IS NULL THEN NULL
 
 @query("q_d23_category_filter_list", f"""
 WITH g AS (SELECT {PREFIX_SQL} AS prefix, avg(CAST(label AS DOUBLE)) AS rate FROM base GROUP BY 1)
-SELECT CASE WHEN rate > 0.52 THEN 'high' WHEN rate < 0.48 THEN 'low' ELSE 'mid' END AS band,
-       string_agg(prefix, ',' ORDER BY prefix) AS prefixes FROM g GROUP BY 1""")
+SELECT CASE WHEN rate > 0.52 THEN 'high' WHEN rate < 0.48 THEN 'low' ELSE 'mid' END AS band, prefix FROM g""")
 def q_d23(spark, sf):
     g = base(spark, sf).withColumn("prefix", prefix_class("ticket")).groupBy("prefix").agg(
         F.avg(F.col("label").cast("double")).alias("rate"))
     band = F.when(F.col("rate") > 0.52, "high").when(F.col("rate") < 0.48, "low").otherwise("mid")
-    return g.groupBy(band.alias("band")).agg(F.concat_ws(",", F.array_sort(F.collect_list("prefix"))).alias("prefixes"))
+    # long form (band, member): a band's member list is never gathered into one row
+    return g.select(band.alias("band"), "prefix").orderBy("band", "prefix")
 
 
 # ---------------------------------------------------------------- E: window-type
