@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.operators.common import as_list, checked_broadcast
+from tabforge.operators.common import as_list
 from tabforge.session import cut_lineage
 
 
@@ -79,33 +79,37 @@ def _bucketed(src: DataFrame, keys: list[str], probs: list[float], names: list[s
     # 1. data-independent, order-preserving bucket of the value axis
     b = src.withColumn("_b", value_bucket(F.col("_v"), n_buckets))
 
-    # 2. rows per (group, bucket): at most groups x n_buckets rows
-    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c")).persist()
-    groups = counts.select(*keys).distinct() if keys else None
-    bs = counts.where(F.col("_b").isNotNull())
+    # 2. rows per (group, bucket): at most groups x buckets rows. One window
+    # over it yields, per bucket, the rows before it and the group total, and
+    # (first row per group) the group list, including all-null groups.
+    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    bs = bs.select(
+    valued = F.when(F.col("_b").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    bs = counts.select(
         *keys, "_b", "_c",
-        F.coalesce(F.sum("_c").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.sum("_c").over(wk).alias("_n"))
+        F.coalesce(F.sum(valued).over(wk.orderBy(F.col("_b").asc_nulls_first())
+                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum(valued).over(wk).alias("_n"),
+        F.row_number().over(wk.orderBy(F.col("_b").asc_nulls_first())).alias("_first"))
+    groups = bs.where(F.col("_first") == 1).select(*keys, "_n")
+    bs = bs.where(F.col("_b").isNotNull()).drop("_first", "_n")
 
     # 3. target order statistics: rank floor(p(n-1)) and ceil(p(n-1)), 0-based
     pr = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "_i int, _p double")
-    g = bs.select(*keys, "_n").distinct()
-    t = g.crossJoin(F.broadcast(pr)).withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
+    t = groups.where(F.col("_n") > 0).crossJoin(F.broadcast(pr)).withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
     t = t.select(*keys, "_i", "_pos",
                  F.explode(F.array(
                      F.struct(F.lit(0).alias("_w"), F.floor("_pos").alias("_r")),
                      F.struct(F.lit(1).alias("_w"), F.ceil("_pos").alias("_r")))).alias("_t"))
     t = t.select(*keys, "_i", "_pos", "_t._w", "_t._r")
-    bs = bs.drop("_n")
     tb = (t.join(bs, keys) if keys else t.crossJoin(bs))
     tb = tb.where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_c")))
-    tb = tb.select(*keys, "_i", "_pos", "_w", "_r", "_b", "_before").persist()
+    tb = tb.select(*keys, "_i", "_pos", "_w", "_r", "_b", "_before")
 
-    # 4. rank distinct values inside the needed buckets only
-    need = checked_broadcast(tb.select(*keys, "_b", "_before").distinct())
+    # 4. rank distinct values inside the needed buckets only; ``need`` has at
+    # most 2 x probs rows per group, and AQE broadcasts it at runtime when its
+    # materialised size is under the broadcast threshold
+    need = tb.select(*keys, "_b", "_before").distinct()
     vc = (b.join(need, keys + ["_b"]).groupBy(*keys, "_b", "_before", "_v")
            .agg(F.count(F.lit(1)).alias("_cv")))
     wb = Window.partitionBy(*keys, "_b").orderBy("_v")
@@ -115,26 +119,23 @@ def _bucketed(src: DataFrame, keys: list[str], probs: list[float], names: list[s
              .where((F.col("_vb") <= F.col("_r")) & (F.col("_r") < F.col("_vb") + F.col("_cv")))
              .select(*keys, "_i", "_pos", "_w", "_v"))
 
-    # 5. interpolate and pivot the probabilities into columns
-    per = hit.groupBy(*keys, "_i", "_pos").agg(
-        F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias("_hi"))
-    per = per.withColumn("_q", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo")))
-    out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n)
-                                   for i, n in enumerate(names)])
-    if keys:
-        result = groups.join(out, keys, "left")
-    else:
-        # global: always one row, null when the column has no values
-        one = spark.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names])
-        result = one.unionByName(out).agg(*[F.max(n).alias(n) for n in names])
+    # 5. one aggregation: order statistics per probability, interpolated;
+    # groups without values join in as empty rows (null quantiles)
+    empty = groups.select(*keys, F.lit(None).cast("int").alias("_i"), F.lit(None).cast("double").alias("_pos"),
+                          F.lit(None).cast("int").alias("_w"), F.lit(None).cast("double").alias("_v"))
+    allr = hit.unionByName(empty) if keys else hit
+    aggs = []
+    for i in range(len(names)):
+        aggs += [F.max(F.when((F.col("_i") == i) & (F.col("_w") == 0), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when((F.col("_i") == i) & (F.col("_w") == 1), F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(F.when(F.col("_i") == i, F.col("_pos"))).alias(f"_p{i}")]
+    g = allr.groupBy(*keys).agg(*aggs)
+    result = g.select(*keys, *[(F.col(f"_lo{i}") + (F.col(f"_p{i}") - F.floor(f"_p{i}"))
+                                * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n) for i, n in enumerate(names)])
     # The result is small (groups x probs): materialise it in the shared
-    # checkpoint folder so later plans do not carry (and re-analyse) this
-    # lineage, then release the intermediate caches.
-    result = cut_lineage(result)
-    for cached in (counts, tb, need):
-        cached.unpersist()
-    return result
+    # checkpoint folder (one job; repeated subtrees share their exchanges) so
+    # later plans do not carry and re-analyse this lineage.
+    return cut_lineage(result)
 
 
 def group_median(df: DataFrame, value: str, keys=None, name: str = "median", **kw) -> DataFrame:
