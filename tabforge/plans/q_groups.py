@@ -266,7 +266,7 @@ FROM base GROUP BY category, klass""")
 def q_e3(spark, sf):
     g = group_rate(base(spark, sf), ["category", "klass"], "label")
     return g.select("category", "klass", "rate",
-                    F.rank().over(Window.partitionBy("category").orderBy(F.col("rate").desc())).alias("rnk"))
+                    F.rank().over(Window.partitionBy("category").orderBy(F.col("rate").desc())).cast("long").alias("rnk"))
 
 
 @query("q_e4_first_appearance_factorize", """
@@ -339,14 +339,14 @@ def q_f2(spark, sf):
     c = with_scalars(b.groupBy("category").agg(F.avg("amount_a").alias("m")), b.agg(F.avg("amount_a").alias("o")))
     c = c.select("category", (F.col("m") - F.col("o")).alias("dev"))
     return c.select("category", F.round("dev", 6).alias("dev"),
-                    F.row_number().over(Window.orderBy(F.abs("dev").desc(), "category")).alias("pos"))
+                    F.row_number().over(Window.orderBy(F.abs("dev").desc(), "category")).cast("long").alias("pos"))
 
 
 @query("q_f3_sort_by_key", f"""
 SELECT klass, {RATE_SQL}, row_number() OVER (ORDER BY klass) AS pos FROM base GROUP BY klass""")
 def q_f3(spark, sf):
     g = group_rate(base(spark, sf), "klass", "label")
-    return g.withColumn("pos", F.row_number().over(Window.orderBy("klass"))).orderBy("klass")
+    return g.withColumn("pos", F.row_number().over(Window.orderBy("klass")).cast("long")).orderBy("klass")
 
 
 @query("q_f4_top_n", "SELECT id, amount_b FROM base ORDER BY amount_b DESC NULLS LAST, id LIMIT 10")

@@ -37,7 +37,7 @@ def q_k1(spark, sf):
 SELECT f1, f2, corr, row_number() OVER (ORDER BY abs(corr) DESC, f1, f2) AS pos FROM ({_corr_sql(NUM)}) WHERE abs(corr) > 0.5""")
 def q_k2(spark, sf):
     c = correlations(base(spark, sf), NUM).where(F.abs("corr") > 0.5)
-    return c.withColumn("pos", F.row_number().over(Window.orderBy(F.abs("corr").desc(), "f1", "f2")))
+    return c.withColumn("pos", F.row_number().over(Window.orderBy(F.abs("corr").desc(), "f1", "f2")).cast("long"))
 
 
 FEATS = ["amount_a", "amount_b", "n_sib", "n_par"]
