@@ -66,7 +66,7 @@ def dedupe_edges(edges: Sequence[float | None]) -> list[float]:
     return out
 
 
-def quantile_edges(df: DataFrame, col: str, q: int, strategy: str = "bucketed") -> list[float]:
+def quantile_edges(df: DataFrame, col: str, q: int, strategy: str = "auto") -> list[float]:
     """Learn ``q``-quantile edges of ``col`` (exact by default).
 
     The result is q+1 numbers: a driver-side list bounded by the parameter.

@@ -41,7 +41,7 @@ def value_share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
             .select(key, "n", F.bround(F.col("n") / F.col("_total"), digits).alias("share")))
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, strategy: str = "bucketed") -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, strategy: str = "auto") -> DataFrame:
     """count/mean/std/min/quartiles/max per column, exact quartiles, long form."""
     parts = []
     for c in cols:

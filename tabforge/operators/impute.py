@@ -21,7 +21,7 @@ from tabforge.operators.quantiles import group_mode, group_quantiles, group_quan
 
 
 def group_stat(df: DataFrame, value: str, keys: Sequence[str], stat: str = "median",
-               name: str = "value", strategy: str = "bucketed") -> DataFrame:
+               name: str = "value", strategy: str = "auto") -> DataFrame:
     """Per-group statistic of ``value`` (median/mean/mode/count) as a rules table.
 
     Null keys are dropped (pandas groupby); groups without any value keep a
@@ -76,7 +76,7 @@ class GroupImputer:
     overall: bool = True
     constant: object = None
     out: str | None = None
-    strategy: str = "bucketed"
+    strategy: str = "auto"
 
     def fit(self, df: DataFrame) -> GroupImputerModel:
         # every level reads the same narrow projection: persist it once

@@ -37,13 +37,32 @@ def _names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
     return [f"q{str(p).replace('.', '_')}" for p in probs]
 
 
+# Bound on distinct (group, value) pairs under which Spark's exact
+# ``percentile`` aggregate is safe: its per-group value map then holds at
+# most this many entries even if one group owns all of them.
+EXACT_MAP_BOUND = 1_000_000
+
+
+def _choose(src: DataFrame, keys: list[str], strategy: str, bound: int) -> str:
+    """``auto``: one HLL pass estimates distinct (group, value) pairs; under
+    the bound (with a 10% margin for the estimate) the single-pass exact
+    aggregate is used, otherwise the skew-safe bucketed path."""
+    if strategy != "auto":
+        return strategy
+    est = src.agg(F.approx_count_distinct(F.struct(*keys, "_v"), 0.02).alias("n")).first()["n"]
+    return "percentile" if est * 1.1 <= bound else "bucketed"
+
+
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys=None,
-                    names: Sequence[str] | None = None, strategy: str = "bucketed",
-                    n_buckets: int = 65536, accuracy: int = 10000) -> DataFrame:
+                    names: Sequence[str] | None = None, strategy: str = "auto",
+                    n_buckets: int = 65536, accuracy: int = 10000,
+                    exact_map_bound: int = EXACT_MAP_BOUND) -> DataFrame:
     """Per-group quantiles of ``value``; one output column per probability.
 
     strategy: ``bucketed`` (exact, skew-safe), ``percentile`` (Spark's exact
-    aggregate; fine when distinct values per group are bounded) or ``approx``
+    aggregate; fine when distinct values per group are bounded), ``auto``
+    (``percentile`` when an HLL estimate proves the distinct (group, value)
+    pairs are under ``exact_map_bound``, else ``bucketed``) or ``approx``
     (``percentile_approx`` sketch with the given accuracy; constant memory).
     Groups whose values are all null appear with null quantiles; null keys
     are dropped (pandas groupby semantics).
@@ -52,8 +71,9 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys=None
     names = _names(probs, names)
     probs = [float(p) for p in probs]
     src = _clean(df, value, keys)
+    strategy = _choose(src, keys, strategy, exact_map_bound)
     if strategy == "percentile":
-        return src.groupBy(*keys).agg(*[F.percentile("_v", p).alias(n) for p, n in zip(probs, names)])
+        return cut_lineage(src.groupBy(*keys).agg(*[F.percentile("_v", p).alias(n) for p, n in zip(probs, names)]))
     if strategy == "approx":
         return src.groupBy(*keys).agg(
             *[F.percentile_approx("_v", p, accuracy).alias(n) for p, n in zip(probs, names)])
@@ -167,16 +187,18 @@ def _placeholder(dtype: str):
 
 
 def group_quantiles_sets(df: DataFrame, value: str, probs: Sequence[float], key_sets: Sequence[Sequence[str]],
-                         names: Sequence[str] | None = None, strategy: str = "bucketed",
-                         n_buckets: int = 65536, accuracy: int = 10000) -> list[DataFrame]:
+                         names: Sequence[str] | None = None, strategy: str = "auto",
+                         n_buckets: int = 65536, accuracy: int = 10000,
+                         exact_map_bound: int = EXACT_MAP_BOUND) -> list[DataFrame]:
     """Quantiles for several groupings at once (like GROUPING SETS): each row
     is expanded once per key set, tagged with the set's level, and a single
     bucketed computation runs over (level, keys). Returns one DataFrame per
     key set, in order."""
     key_sets = [list(k) for k in key_sets]
     names = _names(probs, names)
-    if len(key_sets) <= 1 or strategy != "bucketed":
-        return [group_quantiles(df, value, probs, ks, names, strategy, n_buckets, accuracy) for ks in key_sets]
+    if len(key_sets) <= 1 or strategy == "approx":
+        return [group_quantiles(df, value, probs, ks, names, strategy, n_buckets, accuracy, exact_map_bound)
+                for ks in key_sets]
     all_keys: list[str] = []
     for ks in key_sets:
         all_keys += [k for k in ks if k not in all_keys]
@@ -190,5 +212,6 @@ def group_quantiles_sets(df: DataFrame, value: str, probs: Sequence[float], key_
                                 *[(F.col(k) if k in ks else _placeholder(types[k])).alias(k) for k in all_keys]))
     x = (df.select(F.col(value).alias("_val"), F.explode(F.array(*structs)).alias("_s"))
            .select("_val", "_s.*").where(F.col("_ok")).drop("_ok"))
-    res = group_quantiles(x, "_val", probs, ["_lvl"] + all_keys, names, strategy, n_buckets, accuracy)
+    res = group_quantiles(x, "_val", probs, ["_lvl"] + all_keys, names, strategy, n_buckets, accuracy,
+                          exact_map_bound)
     return [res.where(F.col("_lvl") == i).select(*ks, *names) for i, ks in enumerate(key_sets)]

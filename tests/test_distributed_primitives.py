@@ -25,13 +25,14 @@ def test_bucketed_quantiles_equal_percentile(spark):
     df = _data(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     names = [f"p{i}" for i in range(len(probs))]
-    a = {r["g"]: [r[n] for n in names] for r in group_quantiles(df, "v", probs, "g", names).collect()}
+    a = {r["g"]: [r[n] for n in names]
+         for r in group_quantiles(df, "v", probs, "g", names, strategy="bucketed").collect()}
     b = {r["g"]: [r[n] for n in names] for r in group_quantiles(df, "v", probs, "g", names, strategy="percentile").collect()}
     assert set(a) == set(b) == {"hot", "a", "b", "c"}
     for k in a:
         for x, y in zip(a[k], b[k]):
             assert abs(x - y) < 1e-9 * max(1.0, abs(y))
-    g = group_quantiles(df, "v", [0.5], None, ["m"]).first()["m"]
+    g = group_quantiles(df, "v", [0.5], None, ["m"], strategy="bucketed").first()["m"]
     h = group_quantiles(df, "v", [0.5], None, ["m"], strategy="percentile").first()["m"]
     assert abs(g - h) < 1e-9
 
@@ -64,3 +65,17 @@ def test_bucketed_running_sum_equals_window(spark):
     b = df.withColumn("ref", F.sum("c").over(w))
     j = a.join(b.select("g", "v", "ref"), ["g", "v"])
     assert j.where(F.col("cum_c") != F.col("ref")).count() == 0
+
+
+def test_auto_strategy_switches_on_distinct_bound(spark):
+    from tabforge.operators.quantiles import group_quantiles_sets
+    df = _data(spark)
+    sets = [["g"], []]
+    low = group_quantiles_sets(df, "v", [0.5], sets, ["m"], strategy="auto", exact_map_bound=10)
+    high = group_quantiles_sets(df, "v", [0.5], sets, ["m"], strategy="auto")
+    for a, b in zip(low, high):
+        ra = sorted((tuple(r) for r in a.collect()), key=str)
+        rb = sorted((tuple(r) for r in b.collect()), key=str)
+        assert len(ra) == len(rb)
+        for x, y in zip(ra, rb):
+            assert x[:-1] == y[:-1] and abs(x[-1] - y[-1]) < 1e-9
