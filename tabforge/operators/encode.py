@@ -114,11 +114,12 @@ def target_mean_oof(df: DataFrame, key: str, label: str, fold: str, out: str = "
     """I10 (fold-safe): mean label of the key over the *other* folds,
     (sum - sum_f) / (n - n_f); keys unseen outside the fold get the overall
     mean of the other folds (or ``prior``)."""
-    per = df.where(F.col(key).isNotNull()).groupBy(key, fold).agg(
-        F.sum(label).alias("_sf"), F.count(F.lit(1)).alias("_nf"))
+    # one pass over df: every other total is derived from this small table
+    per_all = df.groupBy(key, fold).agg(F.sum(label).alias("_sf"), F.count(F.lit(1)).alias("_nf")).persist()
+    per = per_all.where(F.col(key).isNotNull())
     tot = per.groupBy(key).agg(F.sum("_sf").alias("_s"), F.sum("_nf").alias("_n"))
-    fold_tot = df.groupBy(fold).agg(F.sum(label).alias("_fs"), F.count(F.lit(1)).alias("_fn"))
-    all_tot = df.agg(F.sum(label).alias("_as"), F.count(F.lit(1)).alias("_an"))
+    fold_tot = per_all.groupBy(fold).agg(F.sum("_sf").alias("_fs"), F.sum("_nf").alias("_fn"))
+    all_tot = per_all.agg(F.sum("_sf").alias("_as"), F.sum("_nf").alias("_an"))
     stats = per.join(tot, key)
     j = (df.join(checked_broadcast(stats), [key, fold], "left")
            .join(F.broadcast(fold_tot), fold, "left").crossJoin(F.broadcast(all_tot)))
