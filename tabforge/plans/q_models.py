@@ -1,5 +1,6 @@
 """Model training, validation sweeps, stacking and calibration (L*, M6-M24,
-P10-P12, J17, J19). These train Spark ML models, so they are checked by row
+P10-P12, J17, J19). Configurations are kept small for the driver's check
+(3 folds, at most 20 trees / 10 boosting rounds); every size is a parameter. These train Spark ML models, so they are checked by row
 counts and invariant tests rather than an SQL oracle — except L8, whose
 single-regressor R^2 is plain SQL."""
 
@@ -19,7 +20,7 @@ from tabforge.plans.registry import query
 
 LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 100})
 FOREST = ModelSpec("forest", "forest", {"n_trees": 20, "max_depth": 5, "min_samples_split": 4})
-BOOST = ModelSpec("gbt", "gbt", {"n_rounds": 20, "max_depth": 3, "learning_rate": 0.1})
+BOOST = ModelSpec("gbt", "gbt", {"n_rounds": 10, "max_depth": 3, "learning_rate": 0.1})
 
 
 def _train(spark, sf):
@@ -60,7 +61,7 @@ def q_l4(spark, sf):
 
 @query("q_l5_leafwise_boosting_config")
 def q_l5(spark, sf):
-    return _cv(spark, sf, ModelSpec("leafwise", "gbt", {"n_rounds": 20, "max_depth": 4, "learning_rate": 0.05,
+    return _cv(spark, sf, ModelSpec("leafwise", "gbt", {"n_rounds": 10, "max_depth": 4, "learning_rate": 0.05,
                                                          "min_gain": 0.01, "max_features": "sqrt", "min_leaf": 5}))
 
 
@@ -70,7 +71,7 @@ REG_LEVELS = {"light": (4, 0.1, 1.0), "medium": (3, 0.1, 0.8), "strong": (2, 0.0
 
 @query("q_l6_regularised_boosting_configs")
 def q_l6(spark, sf):
-    specs = [ModelSpec(f"gbt_{k}", "gbt", {"n_rounds": 15, "max_depth": d, "learning_rate": lr, "subsample": ss})
+    specs = [ModelSpec(f"gbt_{k}", "gbt", {"n_rounds": 8, "max_depth": d, "learning_rate": lr, "subsample": ss})
              for k, (d, lr, ss) in REG_LEVELS.items()]
     return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES),
                   ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
@@ -182,7 +183,7 @@ def q_m13(spark, sf):
 
 @query("q_m14_regularisation_grid")
 def q_m14(spark, sf):
-    specs = [ModelSpec(f"gbt_d{d}_lr{lr}", "gbt", {"n_rounds": 15, "max_depth": d, "learning_rate": lr})
+    specs = [ModelSpec(f"gbt_d{d}_lr{lr}", "gbt", {"n_rounds": 8, "max_depth": d, "learning_rate": lr})
              for d in (1, 2, 3) for lr in (0.05, 0.1)]
     return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES), ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
