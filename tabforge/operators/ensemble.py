@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.operators.common import safe_corr
+from tabforge.operators.common import checked_broadcast, safe_corr
 
 from tabforge.operators.common import as_list
 from tabforge.operators.joins import pair_join
@@ -42,7 +42,7 @@ def soft_vote(df: DataFrame, id_col: str = "id", proba: str = "proba", keys=None
     keys = as_list(keys)
     x = df
     if weights is not None:
-        x = x.join(F.broadcast(weights), model_col)
+        x = x.join(checked_broadcast(weights), model_col)
         p = F.sum(F.col("weight") * F.col(proba)) / F.sum("weight")
     else:
         p = F.avg(proba)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.operators.common import as_list
+from tabforge.operators.common import as_list, checked_broadcast
 from tabforge.operators.ranking import bucketed_running_sum
 
 
@@ -121,7 +121,8 @@ def threshold_sweep(df: DataFrame, score: str, label: str, thresholds: DataFrame
     keys = as_list(keys)
     c = score_counts(df, score, label, keys)
     tkeys = [k for k in keys if k in thresholds.columns]
-    j = c.join(F.broadcast(thresholds), tkeys) if tkeys else c.crossJoin(F.broadcast(thresholds))
+    th = checked_broadcast(thresholds)
+    j = c.join(th, tkeys) if tkeys else c.crossJoin(th)
     hit = (F.col(score) >= F.col("threshold")) if inclusive else (F.col(score) > F.col("threshold"))
     g = j.groupBy(*keys, "name", "threshold").agg(
         F.sum(F.when(hit, F.col("pos")).otherwise(0)).cast("double").alias("tp"),
@@ -187,4 +188,4 @@ def bin_calibrate(df: DataFrame, score: str, label: str, keys=None, n_bins: int
     b = F.least(F.floor(F.col(score) * n_bins), F.lit(n_bins - 1)).cast("int")
     x = df.withColumn("_bin", b)
     rates = x.groupBy(*keys, "_bin").agg(F.avg(F.col(label).cast("double")).alias(out))
-    return x.join(F.broadcast(rates), keys + ["_bin"]).drop("_bin")
+    return x.join(checked_broadcast(rates), keys + ["_bin"]).drop("_bin")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabforge.operators.common import checked_broadcast
 from tabforge.operators.metrics import youden_threshold
 from tabforge.plans.fixtures import base, scores
 from tabforge.plans.registry import query
@@ -73,7 +74,7 @@ def q_a5(spark, sf):
     params.coalesce(1).select(F.to_json(F.collect_list(F.struct("model", "threshold"))).alias("j")) \
         .write.text(path)
     back = read_json(spark, path, "model string, threshold double", multiline=True)
-    j = s.join(F.broadcast(back), "model")
+    j = s.join(checked_broadcast(back), "model")
     return j.groupBy("model", "threshold").agg(F.count(F.when(F.col("proba") >= F.col("threshold"), 1)).alias("n_positive"))
 
 
