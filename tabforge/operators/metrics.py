@@ -45,10 +45,11 @@ def curve_points(df: DataFrame, score: str, label: str, keys=None) -> DataFrame:
     return r.join(tot, keys) if keys else r.crossJoin(tot)
 
 
-def roc_points(df: DataFrame, score: str, label: str, keys=None) -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score, plus (inf, 0, 0)."""
+def roc_points(df: DataFrame, score: str, label: str, keys=None, points: DataFrame | None = None) -> DataFrame:
+    """(threshold, fpr, tpr) for every distinct score, plus (inf, 0, 0).
+    ``points`` reuses a ``curve_points`` result (ROC and PR share one pass)."""
     keys = as_list(keys)
-    p = curve_points(df, score, label, keys)
+    p = points if points is not None else curve_points(df, score, label, keys)
     pts = p.select(*keys, F.col(score).cast("double").alias("threshold"),
                    (F.col("cum_neg") / F.col("N")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"))
     start = p.select(*keys).distinct().select(*keys, F.lit(float("inf")).alias("threshold"),
@@ -56,28 +57,29 @@ def roc_points(df: DataFrame, score: str, label: str, keys=None) -> DataFrame:
     return start.unionByName(pts)
 
 
-def pr_points(df: DataFrame, score: str, label: str, keys=None) -> DataFrame:
+def pr_points(df: DataFrame, score: str, label: str, keys=None, points: DataFrame | None = None) -> DataFrame:
     """(threshold, precision, recall) for every distinct score."""
     keys = as_list(keys)
-    p = curve_points(df, score, label, keys)
+    p = points if points is not None else curve_points(df, score, label, keys)
     return p.select(*keys, F.col(score).cast("double").alias("threshold"),
                     (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                     (F.col("cum_pos") / F.col("P")).alias("recall"))
 
 
-def youden_threshold(df: DataFrame, score: str, label: str, keys=None) -> DataFrame:
+def youden_threshold(df: DataFrame, score: str, label: str, keys=None, points: DataFrame | None = None) -> DataFrame:
     """First arg-max of tpr - fpr (ties -> highest threshold)."""
     keys = as_list(keys)
-    r = roc_points(df, score, label, keys).withColumn("j", F.col("tpr") - F.col("fpr"))
+    r = roc_points(df, score, label, keys, points).withColumn("j", F.col("tpr") - F.col("fpr"))
     best = r.groupBy(*keys).agg(F.max(F.struct("j", "threshold", "tpr", "fpr")).alias("b"))
     return best.select(*keys, F.col("b.threshold").alias("threshold"), F.col("b.tpr").alias("tpr"),
                        F.col("b.fpr").alias("fpr"), F.col("b.j").alias("youden"))
 
 
-def f1_threshold(df: DataFrame, score: str, label: str, keys=None, eps: float = 1e-10) -> DataFrame:
+def f1_threshold(df: DataFrame, score: str, label: str, keys=None, eps: float = 1e-10,
+                 points: DataFrame | None = None) -> DataFrame:
     """Arg-max of 2pr/(p+r+eps) over thresholds (ties -> lowest)."""
     keys = as_list(keys)
-    p = pr_points(df, score, label, keys)
+    p = pr_points(df, score, label, keys, points)
     p = p.withColumn("f1", F.lit(2.0) * F.col("precision") * F.col("recall")
                      / (F.col("precision") + F.col("recall") + F.lit(eps)))
     best = p.groupBy(*keys).agg(F.max(F.struct(F.col("f1"), (-F.col("threshold")).alias("nt"),

@@ -114,7 +114,8 @@ SELECT t.id, round(coalesce(CASE WHEN pt.n - pf.nf > 0 THEN CAST(pt.s - pf.sf AS
 FROM t JOIN pf USING (prefix, fold) JOIN pt USING (prefix) JOIN ft USING (fold) CROSS JOIN a""")
 def q_i10(spark, sf):
     b = base(spark, sf).select("id", "label", prefix_class("ticket").alias("prefix"))
-    f = stratified_folds(b, "id", "label")
+    # the fold assignment is a shuffle; both passes of the encoder reuse it
+    f = stratified_folds(b, "id", "label").persist()
     out = target_mean_oof(f, "prefix", "label", "fold")
     return out.select("id", F.round("target_mean", 6).alias("target_mean"))
 

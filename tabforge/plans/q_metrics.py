@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.ensemble import with_pred
 from tabforge.operators.metrics import (bin_calibrate, binary_metrics, brier, classification_report,
-                                        confusion_counts, f1_threshold, log_loss, pr_points, roc_auc,
+                                        confusion_counts, curve_points, f1_threshold, log_loss, pr_points, roc_auc,
                                         roc_points, threshold_sweep, youden_threshold)
 from tabforge.plans.fixtures import scores
 from tabforge.plans.registry import query
@@ -55,9 +55,10 @@ def _s(spark, sf):
 def _thresholds(spark, s):
     models = s.select("model").distinct()
     named = spark.createDataFrame(NAMED_THRESHOLDS, "name string, threshold double, ord int")
-    y = youden_threshold(s, "proba", "label", "model").select("model", F.lit("youden").alias("name"), "threshold",
+    pts = curve_points(s, "proba", "label", "model").persist()  # one curve for both optima
+    y = youden_threshold(s, "proba", "label", "model", pts).select("model", F.lit("youden").alias("name"), "threshold",
                                                                F.lit(1).alias("ord"))
-    f = f1_threshold(s, "proba", "label", "model").select("model", F.lit("f1").alias("name"), "threshold",
+    f = f1_threshold(s, "proba", "label", "model", points=pts).select("model", F.lit("f1").alias("name"), "threshold",
                                                           F.lit(2).alias("ord"))
     return models.crossJoin(F.broadcast(named)).select("model", "name", "threshold", "ord").unionByName(y).unionByName(f)
 
