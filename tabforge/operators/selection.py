@@ -52,7 +52,8 @@ def composite_score(oof: str, std: str, gap: str) -> F.Column:
 def seed_count_curve(seeded: DataFrame, counts: Sequence[int], id_col: str = "id", seed: str = "seed",
                      proba: str = "proba", label: str = "label", keys: Sequence[str] = ("model",)) -> DataFrame:
     """For each n in ``counts`` average the first n seeds; accuracy,
-    mean and max per-id spread, and the gain over the previous n."""
+    mean and max per-id spread, the gain over the previous n, and whether that
+    gain fell below half the previous gain (the stopping rule)."""
     keys = list(keys)
     ns = seeded.sparkSession.createDataFrame([(int(n),) for n in counts], "n_seeds int")
     x = seeded.join(F.broadcast(ns), F.col(seed) < F.col("n_seeds"))
@@ -62,4 +63,5 @@ def seed_count_curve(seeded: DataFrame, counts: Sequence[int], id_col: str = "id
         F.avg(((F.col("_p") >= 0.5).cast("int") == F.col("_y")).cast("double")).alias("accuracy"),
         F.avg("_sd").alias("mean_std"), F.max("_sd").alias("max_std"))
     w = Window.partitionBy(*keys).orderBy("n_seeds")
-    return g.withColumn("gain", F.col("accuracy") - F.lag("accuracy").over(w))
+    g = g.withColumn("gain", F.col("accuracy") - F.lag("accuracy").over(w))
+    return g.withColumn("diminishing", (F.col("gain") < F.lit(0.5) * F.lag("gain").over(w)).cast("int"))

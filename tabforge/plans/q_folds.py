@@ -172,7 +172,9 @@ per AS (SELECT model, n_seeds, id, avg(proba) AS p, stddev_pop(proba) AS sd, any
 g AS (SELECT model, n_seeds, avg(CAST(CAST(p >= 0.5 AS INTEGER) = y AS DOUBLE)) AS accuracy, avg(sd) AS mean_std, max(sd) AS max_std
       FROM per GROUP BY model, n_seeds)
 SELECT model, CAST(n_seeds AS INTEGER) AS n_seeds, round(accuracy, 6) AS accuracy, round(mean_std, 6) AS mean_std, round(max_std, 6) AS max_std,
-       round(accuracy - lag(accuracy) OVER (PARTITION BY model ORDER BY n_seeds), 6) AS gain FROM g""")
+       round(gain, 6) AS gain, CAST(gain < 0.5 * lag(gain) OVER (PARTITION BY model ORDER BY n_seeds) AS INTEGER) AS diminishing
+FROM (SELECT *, accuracy - lag(accuracy) OVER (PARTITION BY model ORDER BY n_seeds) AS gain FROM g)""")
 def q_m25(spark, sf):
     c = seed_count_curve(seeded_scores(spark, sf), [1, 2, 3])
-    return c.select("model", "n_seeds", *[F.round(x, 6).alias(x) for x in ["accuracy", "mean_std", "max_std", "gain"]])
+    return c.select("model", "n_seeds", *[F.round(x, 6).alias(x) for x in ["accuracy", "mean_std", "max_std", "gain"]],
+                    "diminishing")

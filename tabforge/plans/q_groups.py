@@ -289,12 +289,18 @@ def _acc_by_prefix(spark, sf):
     return v.groupBy("n").agg(F.avg(((F.col("p") >= 0.5).cast("int") == F.col("label")).cast("double")).alias("acc"))
 
 
-@query("q_e5_step_gain", GAIN_SQL + """
-SELECT n, round(acc, 6) AS acc, round(acc - lag(acc) OVER (ORDER BY n), 6) AS gain FROM a""")
+@query("q_e5_step_gain", GAIN_SQL + """,
+g AS (SELECT n, acc, acc - lag(acc) OVER (ORDER BY n) AS gain FROM a)
+SELECT n, round(acc, 6) AS acc, round(gain, 6) AS gain,
+       CAST(gain < 0.5 * lag(gain) OVER (ORDER BY n) AS INTEGER) AS diminishing FROM g""")
 def q_e5(spark, sf):
+    """Gain of each step over the previous one; a step is diminishing when
+    its gain is below half the previous gain (the stopping rule)."""
     a = _acc_by_prefix(spark, sf)
-    return a.select("n", F.round("acc", 6).alias("acc"),
-                    F.round(F.col("acc") - F.lag("acc").over(Window.orderBy("n")), 6).alias("gain"))
+    w = Window.orderBy("n")  # one row per step count: a bounded table
+    g = a.withColumn("gain", F.col("acc") - F.lag("acc").over(w))
+    return g.select("n", F.round("acc", 6).alias("acc"), F.round("gain", 6).alias("gain"),
+                    (F.col("gain") < F.lit(0.5) * F.lag("gain").over(w)).cast("int").alias("diminishing"))
 
 
 @query("q_e6_running_totals", """
