@@ -5,10 +5,12 @@ probes (rows whose target is missing) under Euclidean distance over complete
 feature columns; the probe gets the mean target of its k nearest donors (ties
 by donor id).
 
-Exactness with bounded candidate sets comes from a 1-D lower bound: for the
-feature axis ``a``, |x_a - y_a| <= ||x - y||. Donor vectors are de-duplicated
-into cells (each keeps its first k members by id, enough for any tie), sorted
-along ``a`` and cut into equal-count buckets. Round 1 compares each probe
+Exactness with bounded candidate sets comes from a 1-D lower bound: for a
+unit vector ``u``, |u.(x - y)| <= ||x - y||. ``u`` is proportional to the
+features' standard deviations, so the projection follows the widest spread
+and distinct vectors practically never tie (a discrete feature alone would).
+Donor vectors are de-duplicated into cells (each keeps its first k members by
+id, enough for any tie), sorted along ``u`` and cut into equal-count buckets. Round 1 compares each probe
 with the cells of its own and neighbouring buckets; the probe is final when
 its k-th distance is below the distance along ``a`` to the unsearched cells.
 Round 2 searches, for the remaining probes, exactly the buckets whose cells
@@ -18,6 +20,7 @@ from the bucketed exact ranking, so nothing is sorted in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -62,8 +65,19 @@ def knn_impute(df: DataFrame, donors: DataFrame, id_col: str, target: str, featu
         F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("i"), F.col("_t").alias("t")))).alias("members"),
         F.min(id_col).alias("cell_id"))
     var = cells.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in feats]).first()
-    axis = max(feats, key=lambda c: (var[c] or 0.0))
-    cells = cells.withColumn("_s", F.col(axis).cast("double"))
+    sd = [math.sqrt(var[c] or 0.0) for c in feats]
+    norm = math.sqrt(sum(v * v for v in sd))
+    u = [v / norm for v in sd] if norm > 0 else [1.0] + [0.0] * (len(feats) - 1)
+
+    def proj():
+        s = None
+        for c, w in zip(feats, u):
+            if w:
+                term = F.lit(w) * F.col(c).cast("double")
+                s = term if s is None else s + term
+        return s
+
+    cells = cells.withColumn("_s", proj())
     cells = bucketed_row_number(cells, None, [F.col("_s"), F.col("cell_id")], value_bucket(F.col("_s"), 4096), "_r")
     cells = cut_lineage(cells.withColumn("_bk", F.floor((F.col("_r") - 1) / m)).drop("_r"))
     edges = cells.groupBy("_bk").agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
@@ -71,8 +85,7 @@ def knn_impute(df: DataFrame, donors: DataFrame, id_col: str, target: str, featu
     if n_bk is None:  # no donors: nothing to fill from
         return df.withColumn(out, F.col(target))
 
-    probes = df.where(F.col(target).isNull()).select(F.col(id_col).alias("_pid"), *feats,
-                                                     F.col(axis).cast("double").alias("_s"))
+    probes = df.where(F.col(target).isNull()).select(F.col(id_col).alias("_pid"), *feats, proj().alias("_s"))
     probes = cut_lineage(probes.join(_positions(cells, probes, +1), "_pid"))
 
     def pairs_for(p: DataFrame, bucket_ranges) -> DataFrame:
@@ -99,12 +112,14 @@ def knn_impute(df: DataFrame, donors: DataFrame, id_col: str, target: str, featu
     gap_hi = F.when(F.col("_bhi") == n_bk, F.lit(float("inf"))).otherwise(F.col("_ehi") - F.col("_s"))
     gap = F.least(gap_lo, gap_hi)
     everything = (F.col("_blo") == 0) & (F.col("_bhi") == n_bk)
-    done = everything | ((F.col("_n") >= k) & (F.col("_dk2") < gap * gap))
+    # a relative margin keeps float rounding of the projection on the safe side
+    done = everything | ((F.col("_n") >= k) & (F.col("_dk2") < gap * gap * F.lit(1.0 - 1e-9)))
     chk = cut_lineage(chk.withColumn("_done", F.coalesce(done, F.lit(False))))
     res1 = chk.where("_done").select("_pid", "_mean")
 
     # round 2: all buckets within the k-th distance along the axis
-    rest = chk.where(~F.col("_done")).select("_pid", *feats, "_s", F.sqrt("_dk2").alias("_rad"))
+    rest = chk.where(~F.col("_done")).select("_pid", *feats, "_s",
+                                             (F.sqrt("_dk2") * F.lit(1.0 + 1e-9)).alias("_rad"))
     lo_pts = rest.select("_pid", (F.col("_s") - F.col("_rad")).alias("_s"))
     hi_pts = rest.select("_pid", (F.col("_s") + F.col("_rad")).alias("_s"))
     lo_pos = _positions(cells, lo_pts, -1).withColumnRenamed("_pos", "_plo")

@@ -27,3 +27,20 @@ def test_knn_matches_brute_force(spark):
         x = np.array(r[2:])
         d = sorted(((float(((x - v) ** 2).sum()), i, t) for i, t, v in donors))[:5]
         assert abs(got[r[0]] - sum(t for _, _, t in d) / 5) < 1e-9
+
+
+def test_knn_discrete_features_with_ties(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(300):
+        x = [float(rnd.randint(0, 2)), float(rnd.randint(0, 3)), float(rnd.randint(0, 1))]
+        t = None if i % 4 == 0 else float(rnd.randint(0, 50))
+        rows.append((i, t, *x))
+    df = spark.createDataFrame(rows, "id long, t double, a double, b double, c double")
+    got = {r["id"]: r["t"] for r in knn_impute(df, df, "id", "t", ["a", "b", "c"], k=5, cells_per_bucket=2).collect()}
+    donors = [(r[0], r[1], np.array(r[2:])) for r in rows if r[1] is not None]
+    for r in rows:
+        if r[1] is None:
+            x = np.array(r[2:])
+            d = sorted(((float(((x - v) ** 2).sum()), i, t) for i, t, v in donors))[:5]
+            assert abs(got[r[0]] - sum(t for _, _, t in d) / 5) < 1e-9
