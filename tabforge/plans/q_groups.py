@@ -43,19 +43,20 @@ def q_d3(spark, sf):
 
 
 @query("q_d4_group_median", """
-SELECT klass, category, median(amount_a) AS median FROM base GROUP BY klass, category""")
+SELECT klass, category, round(median(amount_a), 6) AS median FROM base GROUP BY klass, category""")
 def q_d4(spark, sf):
-    return group_quantiles(base(spark, sf), "amount_a", [0.5], ["klass", "category"], ["median"])
+    q = group_quantiles(base(spark, sf), "amount_a", [0.5], ["klass", "category"], ["median"])
+    return q.withColumn("median", F.round("median", 6))
 
 
 @query("q_d5_group_quantiles", """
-SELECT klass, category, min(amount_b) AS min, quantile_cont(amount_b, 0.25) AS q25, median(amount_b) AS median,
-       quantile_cont(amount_b, 0.75) AS q75, max(amount_b) AS max FROM base GROUP BY klass, category""")
+SELECT klass, category, min(amount_b) AS min, round(quantile_cont(amount_b, 0.25), 6) AS q25, round(median(amount_b), 6) AS median,
+       round(quantile_cont(amount_b, 0.75), 6) AS q75, max(amount_b) AS max FROM base GROUP BY klass, category""")
 def q_d5(spark, sf):
     b = base(spark, sf)
     q = group_quantiles(b, "amount_b", [0.25, 0.5, 0.75], ["klass", "category"], ["q25", "median", "q75"])
     mm = b.groupBy("klass", "category").agg(F.min("amount_b").alias("min"), F.max("amount_b").alias("max"))
-    return q.join(mm, ["klass", "category"])
+    return q.join(mm, ["klass", "category"]).withColumns({c: F.round(c, 6) for c in ["q25", "median", "q75"]})
 
 
 @query("q_d6_mode_smallest_tie", """
@@ -68,7 +69,7 @@ def q_d6(spark, sf):
 
 @query("q_d7_multi_aggregate", """
 SELECT category, round(avg(amount_a), 6) AS amount_a_mean, round(stddev_samp(amount_a), 6) AS amount_a_std,
-       median(amount_a) AS amount_a_median, count(amount_a) AS amount_a_count,
+       round(median(amount_a), 6) AS amount_a_median, count(amount_a) AS amount_a_count,
        arg_min(region, id) FILTER (WHERE region IS NOT NULL) AS region_first
 FROM base GROUP BY category""")
 def q_d7(spark, sf):
@@ -78,7 +79,7 @@ def q_d7(spark, sf):
         F.count("amount_a").alias("amount_a_count"),
         F.expr("min_by(region, id) FILTER (WHERE region IS NOT NULL)").alias("region_first"))
     med = group_quantiles(b, "amount_a", [0.5], ["category"], ["amount_a_median"])
-    return agg.join(med, "category")
+    return agg.join(med, "category").withColumn("amount_a_median", F.round("amount_a_median", 6))
 
 
 @query("q_d8_std_sample_population", """

@@ -200,21 +200,22 @@ def q_j14(spark, sf):
 @query("q_j15_train_serve_leakage_check", """
 WITH a AS (SELECT klass, median(amount_a) AS v FROM base WHERE origin = 'train' GROUP BY klass),
 b AS (SELECT klass, median(amount_a) AS v FROM base WHERE origin = 'serve' GROUP BY klass)
-SELECT klass, a.v AS train_value, b.v AS serve_value, round(abs(a.v - b.v), 6) AS diff,
+SELECT klass, round(a.v, 6) AS train_value, round(b.v, 6) AS serve_value, round(abs(a.v - b.v), 6) AS diff,
        CAST(abs(a.v - b.v) > 0.01 AS INTEGER) AS leak_flag FROM a JOIN b USING (klass)""")
 def q_j15(spark, sf):
     b = base(spark, sf)
     a = group_quantiles(b.where(is_train()), "amount_a", [0.5], ["klass"], ["train_value"])
     s = group_quantiles(b.where(~is_train()), "amount_a", [0.5], ["klass"], ["serve_value"])
     d = F.abs(F.col("train_value") - F.col("serve_value"))
-    return a.join(s, "klass").select("klass", "train_value", "serve_value", F.round(d, 6).alias("diff"),
+    return a.join(s, "klass").select("klass", F.round("train_value", 6).alias("train_value"),
+                                     F.round("serve_value", 6).alias("serve_value"), F.round(d, 6).alias("diff"),
                                      (d > 0.01).cast("int").alias("leak_flag"))
 
 
 @query("q_j16_rule_inspection", f"""
 WITH t AS (SELECT *, {TITLE_SQL} AS title FROM base),
 nul AS (SELECT klass, title, count(*) AS n_null FROM t WHERE amount_a IS NULL AND title IS NOT NULL GROUP BY klass, title),
-g AS (SELECT klass, title, round(avg(amount_a), 6) AS group_mean, median(amount_a) AS group_median, count(amount_a) AS group_count
+g AS (SELECT klass, title, round(avg(amount_a), 6) AS group_mean, round(median(amount_a), 6) AS group_median, count(amount_a) AS group_count
       FROM t WHERE origin = 'train' AND title IS NOT NULL GROUP BY klass, title)
 SELECT klass, title, n_null, group_mean, group_median, group_count FROM nul LEFT JOIN g USING (klass, title)""")
 def q_j16(spark, sf):
@@ -225,6 +226,7 @@ def q_j16(spark, sf):
     g = tr.groupBy("klass", "title").agg(F.round(F.avg("amount_a"), 6).alias("group_mean"),
                                          F.count("amount_a").alias("group_count"))
     med = group_quantiles(tr, "amount_a", [0.5], ["klass", "title"], ["group_median"])
+    med = med.withColumn("group_median", F.round("group_median", 6))
     return nul.join(g.join(med, ["klass", "title"]), ["klass", "title"], "left")
 
 

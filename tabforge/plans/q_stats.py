@@ -173,26 +173,28 @@ def q_k10(spark, sf):
 @query("q_k11_null_group_profile", f"""
 WITH t AS (SELECT *, {TITLE_SQL} AS title FROM base WHERE amount_a IS NULL)
 SELECT klass, title, count(*) AS n, round(avg(n_sib), 6) AS mean_sib, round(avg(n_par), 6) AS mean_par,
-       round(avg(amount_b), 6) AS mean_amount_b, median(amount_b) AS median_amount_b FROM t WHERE title IS NOT NULL GROUP BY klass, title""")
+       round(avg(amount_b), 6) AS mean_amount_b, round(median(amount_b), 6) AS median_amount_b FROM t WHERE title IS NOT NULL GROUP BY klass, title""")
 def q_k11(spark, sf):
     t = base(spark, sf).withColumn("title", title("full_name")).where(
         F.col("amount_a").isNull() & F.col("title").isNotNull())
     g = t.groupBy("klass", "title").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_sib"), 6).alias("mean_sib"),
                                         F.round(F.avg("n_par"), 6).alias("mean_par"),
                                         F.round(F.avg("amount_b"), 6).alias("mean_amount_b"))
-    return g.join(group_quantiles(t, "amount_b", [0.5], ["klass", "title"], ["median_amount_b"]), ["klass", "title"])
+    med = group_quantiles(t, "amount_b", [0.5], ["klass", "title"], ["median_amount_b"])
+    return g.join(med.withColumn("median_amount_b", F.round("median_amount_b", 6)), ["klass", "title"])
 
 
 @query("q_k12_key_prefix_profile", f"""
 SELECT {PREFIX_SQL} AS prefix, count(*) AS n, round_even(avg(CAST(label AS DOUBLE)), 6) AS rate,
-       round(avg(amount_b), 6) AS mean_amount, round(stddev_samp(amount_b), 6) AS std_amount, median(amount_b) AS median_amount
+       round(avg(amount_b), 6) AS mean_amount, round(stddev_samp(amount_b), 6) AS std_amount, round(median(amount_b), 6) AS median_amount
 FROM base GROUP BY 1 HAVING count(*) >= 5""")
 def q_k12(spark, sf):
     b = base(spark, sf).withColumn("prefix", prefix_class("ticket"))
     g = b.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg(F.col("label").cast("double")), 6).alias("rate"),
                                 F.round(F.avg("amount_b"), 6).alias("mean_amount"),
                                 F.round(F.stddev_samp("amount_b"), 6).alias("std_amount"))
-    return g.join(group_quantiles(b, "amount_b", [0.5], ["prefix"], ["median_amount"]), "prefix").where(F.col("n") >= 5)
+    med = group_quantiles(b, "amount_b", [0.5], ["prefix"], ["median_amount"])
+    return g.join(med.withColumn("median_amount", F.round("median_amount", 6)), "prefix").where(F.col("n") >= 5)
 
 
 def _maj_acc_sql(keys):
