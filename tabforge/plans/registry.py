@@ -49,4 +49,5 @@ def load_all() -> None:
         importlib.import_module(f"tabforge.plans.{mod}")
 
 
-MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute", "q_metrics", "q_ensemble", "q_stats", "q_folds", "q_io", "q_models", "q_stream", "q_knn"]
+MODULES = ["q_flagship", "q_relational", "q_groups", "q_scalar", "q_encode", "q_impute", "q_metrics",
+           "q_ensemble", "q_stats", "q_folds", "q_io", "q_models", "q_stream", "q_knn"]
