@@ -20,7 +20,7 @@ TITLE_ORDINAL = {"Mr": 0, "Miss": 1, "Mrs": 2, "Master": 3}
 BASIC_FEATURES = ["amount_a", "family_size", "is_alone", "cat_O", "cat_P", "has_unit", "title_code"]
 
 
-def basic_recipe(b: DataFrame, origin_col: str = "origin") -> DataFrame:
+def basic_recipe(b: DataFrame, origin_col: str = "origin", keep: list[str] | None = None) -> DataFrame:
     b = b.withColumn("title", title("full_name"))
     train = b.where(F.col(origin_col) == "train")
     filled = GroupImputer("amount_a", [["klass", "title"]], stat="median").fit(train).transform(b)
@@ -28,7 +28,7 @@ def basic_recipe(b: DataFrame, origin_col: str = "origin") -> DataFrame:
     x = x.withColumns(one_hot_fixed("category", ["O", "P"], "cat"))
     x = x.withColumn("has_unit", F.col("unit_code").isNotNull().cast("int"))
     x = dict_lookup(x, "title", TITLE_ORDINAL, "title_code", default=4)
-    return x.select("id", *BASIC_FEATURES, "label")
+    return x.select("id", *BASIC_FEATURES, "label", *(keep or []))
 
 
 MODEL_FEATURES = BASIC_FEATURES + ["amount_b"]
@@ -47,10 +47,13 @@ def model_frame(spark, sf_dir: str, k: int = 3) -> DataFrame:
 
     key = (id(spark), sf_dir, k)
     if key not in _FRAMES:
-        b = base(spark, sf_dir)
-        feats = basic_recipe(b)
-        amt = GroupImputer("amount_b", [["klass"]]).fit(b.where(F.col("origin") == "train")).transform(b)
-        x = feats.join(amt.select("id", "amount_b", "origin", "ticket"), "id")
+        # the fits, the fold ranking and the final write each read the input:
+        # keep it for the duration of the build, then release it
+        raw = base(spark, sf_dir).persist()
+        # one lineage: fill amount_b in place, then build the recipe on that frame
+        b = GroupImputer("amount_b", [["klass"]]).fit(raw.where(F.col("origin") == "train")).transform(raw)
+        x = basic_recipe(b, keep=["amount_b", "origin", "ticket"])
         x = stratified_folds(x, "id", "label", k)
         _FRAMES[key] = cut_lineage(x)
+        raw.unpersist()
     return _FRAMES[key]
