@@ -79,3 +79,13 @@ def test_auto_strategy_switches_on_distinct_bound(spark):
         assert len(ra) == len(rb)
         for x, y in zip(ra, rb):
             assert x[:-1] == y[:-1] and abs(x[-1] - y[-1]) < 1e-9
+
+
+def test_approx_strategy_within_rank_error(spark):
+    df = _data(spark).where("v IS NOT NULL AND g IS NOT NULL")
+    approx = {r["g"]: r["m"] for r in group_quantiles(df, "v", [0.5], "g", ["m"], strategy="approx",
+                                                       accuracy=1000).collect()}
+    for g, m in approx.items():
+        vals = sorted(r["v"] for r in df.where(F.col("g") == g).select("v").collect())
+        rank = sum(1 for v in vals if v <= m) / len(vals)
+        assert abs(rank - 0.5) <= 2.0 / 1000 + 1.0 / len(vals)
