@@ -53,15 +53,33 @@ class ToxicityModel:
         self.bias = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
 
     def fit(self, positive: list[np.ndarray], unlabelled: list[np.ndarray], epochs: int, rate: float, l1: float,
-            min_df: int, batches: int, seed: int) -> None:
-        """Mini-batch Adam with a proximal L1 step; each batch has a share of both samples."""
+            min_df: int, batches: int, seed: int, relax: float = 0.02) -> None:
+        """First with the L1 step, which picks slots; then with those alone and no penalty, so that margins are not shrunk."""
         df = np.bincount(np.concatenate(positive + unlabelled), minlength=1 << self.bits)
         use = df >= min_df  # a slot in a few texts says nothing about others
-        positive, unlabelled = [p[use[p]] for p in positive], [u[use[u]] for u in unlabelled]
+        for penalty in (l1, l1 * relax):
+            positive, unlabelled = [p[use[p]] for p in positive], [u[use[u]] for u in unlabelled]
+            self._descend(positive, unlabelled, epochs, rate, penalty, batches, seed)
+            use = self.weights != 0
+        self._stretch(positive, unlabelled)
+
+    def _stretch(self, positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> None:
+        """Undoes the shrinking of margins: the scale and shift with the least risk, on a grid."""
+        theta = np.append(self.weights, self.bias)
+        gp, gu, pi = _margins(positive, theta), _margins(unlabelled, theta), self.prior
+
+        def risk(a: float, b: float) -> float:
+            p, u = a * gp + b, a * gu + b
+            return pi * np.logaddexp(0, -p).mean() + max(0.0, np.logaddexp(0, u).mean() - pi * np.logaddexp(0, p).mean())
+
+        a, b = min(((a, b) for a in np.linspace(0.5, 6, 23) for b in np.linspace(-4, 8, 49)), key=lambda x: risk(*x))
+        self.weights, self.bias = self.weights * a, self.bias * a + b
+
+    def _descend(self, positive, unlabelled, epochs, rate, l1, batches, seed) -> None:
+        """Mini-batch Adam with a proximal L1 step; each batch has a share of both samples."""
         order, pi = np.random.default_rng(seed), self.prior
         size = (1 << self.bits) + 1
-        theta = np.zeros(size)
-        theta[-1] = self.bias
+        theta = np.append(self.weights, self.bias)
         m, v, step = np.zeros(size), np.zeros(size), 0
         for _ in range(epochs):
             ps, us = order.permutation(len(positive)), order.permutation(len(unlabelled))
@@ -85,7 +103,7 @@ class ToxicityModel:
                 v = 0.999 * v + 0.001 * grad * grad
                 move = rate / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-4)
                 theta -= move * (m / (1 - 0.9 ** step))
-                theta[:-1] = np.sign(theta[:-1]) * np.maximum(np.abs(theta[:-1]) - move[:-1] * l1, 0.0)
+                theta[:-1] = np.maximum(theta[:-1] - move[:-1] * l1, 0.0)  # clean n-grams do not outweigh toxic ones
         self.weights, self.bias = theta[:-1], float(theta[-1])
 
     def score(self, text: str | None) -> float:
@@ -110,7 +128,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
           prior: float | None = None, positives: int = 2000, unlabelled: int = 4000, bits: int = 17,
-          sizes: tuple[int, ...] = (4, 5), epochs: int = 12, rate: float = 0.02, l1: float = 2e-4, min_df: int = 8,
+          sizes: tuple[int, ...] = (4, 5), epochs: int = 40, rate: float = 0.02, l1: float = 4e-3, min_df: int = 5,
           batches: int = 20, seed: int = 23) -> ToxicityModel:
     """``docs`` and ``labels`` are the training rows only; an id is toxic if one of its labels is 1."""
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))

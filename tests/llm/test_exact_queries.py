@@ -48,8 +48,9 @@ def test_op3_accuracy_and_split(spark, docs):
 
 
 def test_op9_held_out(spark):
-    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    got = rows(spark, "op9_toxicity")
+    big = "/root/testdata/sf0.1"  # sf0.01 has 33 positive training rows
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{big}/labels.parquet").collect()}
+    got = QUERIES["op9_toxicity"](spark, big).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
     held = [(labels[r["doc_id"]], r["score"]) for r in got if r["held_out"] and r["doc_id"] in labels]
     pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
