@@ -16,9 +16,11 @@ the similarity; pairs estimated below 0.62 (over 4.5 standard deviations off at
 
 Hot groups: equal multisets are one text (a partial aggregate); in a band bucket
 every text meets a pivot only, several rounds with other pivots; buckets whose
-texts are of one component are done. What is left, the texts of different
-components in one bucket, is compared pair by pair, so no link that a band found
-is lost; the join condition holds the estimate, so hardly any pair leaves it.
+texts are of one component are done. What is left are texts of different
+components in one bucket. Shingles that only one of them holds bound what it can
+share: a text of n shingles, u of them its own, overlaps another by n - u at most,
+which proves most of them apart without a pair. The rest is compared pair by
+pair, so no link that a band found is lost.
 Verification reads texts again (one scan a round, those in a bitmap of fixed size).
 
 Defined results: texts without a word (null, empty, blank) are classes of their
@@ -138,11 +140,9 @@ def _bitmap(keys: DataFrame, log2: int) -> np.ndarray:
     return out
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, log2: int) -> DataFrame:
-    """The pairs (a, b; keys ka, kb) whose multisets overlap by ``threshold`` or more."""
-    pairs = cut_lineage(pairs)
-    wanted = docs.sparkSession.sparkContext.broadcast(
-        _bitmap(pairs.select(F.explode(F.array("ka", "kb")).alias("key")), log2))
+def _sets(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> DataFrame:
+    """(key, set): numbered shingles of the texts with these keys, and of few others."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(keys, log2))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,6 +155,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
                 np.cumsum([len(s) for s in sets], out=edge[1:])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(edge, np.concatenate(sets))], names=["key", "set"])
 
+    return docs.select("_key", "_text").mapInArrow(read, "key long, set array<long>")
+
+
+def _own_shingles(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> DataFrame:
+    """(key, own): how many shingles of each text no other of these texts holds (or fewer)."""
+    held = _sets(docs, keys, size, log2).select("key", F.explode("set").alias("s"))
+    alone = held.groupBy("s").agg(F.count("*").alias("k"), F.min("key").alias("key")).where("k = 1")
+    return alone.groupBy("key").agg(F.count("*").alias("own"))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, log2: int) -> DataFrame:
+    """The pairs (a, b; keys ka, kb) whose multisets overlap by ``threshold`` or more."""
+    pairs = cut_lineage(pairs)
+    sets = _sets(docs, pairs.select(F.explode(F.array("ka", "kb")).alias("key")), size, log2)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = []
@@ -166,7 +181,6 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
             hit = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(hit)), batch.column(1).take(pa.array(hit))], names=["a", "b"])
 
-    sets = docs.select("_key", "_text").mapInArrow(read, "key long, set array<long>")
     joined = (pairs.join(sets.select(F.col("key").alias("ka"), F.col("set").alias("x")), "ka")
               .join(sets.select(F.col("key").alias("kb"), F.col("set").alias("y")), "kb").select("a", "b", "x", "y"))
     return cut_lineage(joined.mapInArrow(compare, "a long, b long").distinct())
@@ -211,7 +225,7 @@ def _likely(threshold: float):
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
-                    rounds: int = 2, bitmap_log2: int = 26) -> DataFrame:
+                    rounds: int = 3, bitmap_log2: int = 26) -> DataFrame:
     """One row per document: id, class_id, class_size (rows), keep, text_key, linked (the text has a near copy)."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -257,10 +271,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         settle(star.join(codes_of, "v").join(pivot_codes, "p").where(_likely(threshold)))
     rows = cut_lineage(members())
     apart = rows.groupBy(F.col("band").alias("_b")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("_b")
-    rows = rows.join(apart, F.col("band") == F.col("_b")).select("v", "band", "c").join(codes_of, "v")
+    rows = cut_lineage(rows.join(apart, F.col("band") == F.col("_b")).select("v", "band", "c").join(codes_of, "v"))
+    own = cut_lineage(_own_shingles(docs, rows.select("key"), size, bitmap_log2)).withColumnRenamed("key", "_k")
+    rows = rows.join(own, F.col("key") == F.col("_k"), "left").drop("_k").withColumn("u", F.col("n") - F.coalesce("own", F.lit(0)))
+    rows = rows.where(F.col("u") >= F.lit(threshold) * F.col("n") - 1e-9)
     other = rows.select(F.col("v").alias("p"), F.col("band").alias("pband"), F.col("c").alias("pc"), F.col("key").alias("pkey"), F.col("n").alias("pn"),
-                        *[F.col(c).alias(f"p{c}") for c in codes])
-    settle(rows.join(other, (F.col("band") == F.col("pband")) & (F.col("v") < F.col("p")) & (F.col("c") != F.col("pc")) & _likely(threshold))
+                        F.col("u").alias("pu"), *[F.col(c).alias(f"p{c}") for c in codes])
+    most = F.least("u", "pu")  # the overlap is never larger
+    able = most >= F.lit(threshold) * (F.col("n") + F.col("pn") - most) - 1e-9
+    settle(rows.join(other, (F.col("band") == F.col("pband")) & (F.col("v") < F.col("p")) & (F.col("c") != F.col("pc")) & able & _likely(threshold))
            .select("v", "p", "key", "pkey").distinct())
 
     named = texts.select("v", "f", "g", "n", "rep", "key", "copies").join(comp, "v", "left").withColumn("linked", F.col("c").isNotNull())
