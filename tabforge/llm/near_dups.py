@@ -15,7 +15,7 @@ the similarity; pairs estimated below 0.62 (over 4.5 standard deviations off at
 0.8) are not read again, all others are verified on their exact multisets.
 
 Hot groups: equal multisets are one text (a partial aggregate); in a band bucket
-every text meets a pivot only, several rounds with other pivots; buckets whose
+every text meets a pivot only, over several rounds of bands; buckets whose
 texts are of one component are done. What is left are texts of different
 components in one bucket. Shingles that only one of them holds bound what it can
 share: a text of n shingles, u of them its own, overlaps another by n - u at most,
@@ -241,9 +241,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .select(F.monotonically_increasing_id().alias("v"), "f", "g", "n", F.col("_first._id").alias("rep"),
                      F.col("_first._key").alias("key"), "copies", "bands", *codes))
     texts = cut_lineage(texts)  # from here the numbers v are fixed
-    band = texts.select("v", F.explode("bands").alias("band"))
+    band = texts.select("v", F.posexplode("bands").alias("i", "band"))
     crowded = band.groupBy(F.col("band").alias("_b")).agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    multi = cut_lineage(band.join(crowded, F.col("band") == F.col("_b")).select("v", "band"))
+    multi = cut_lineage(band.join(crowded, F.col("band") == F.col("_b")).select("v", "i", "band"))
     codes_of = texts.select("v", "key", "n", *codes)
     pivot_codes = codes_of.select(F.col("v").alias("p"), F.col("key").alias("pkey"), F.col("n").alias("pn"), *[F.col(c).alias(f"p{c}") for c in codes])
 
@@ -253,7 +253,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def members() -> DataFrame:
         if comp is None:
             return multi.withColumn("c", F.col("v"))
-        return multi.join(comp, "v", "left").select("v", "band", F.coalesce("c", "v").alias("c"))
+        return multi.join(comp, "v", "left").select("v", "i", "band", F.coalesce("c", "v").alias("c"))
 
     def settle(pairs: DataFrame) -> None:
         nonlocal links, comp
@@ -262,8 +262,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         links = new if links is None else links.unionByName(new)
         comp = components(links, comp)
 
-    for r in range(rounds):
-        rows = members()
+    for r in range(rounds):  # each round takes its share of the bands: most copies are linked by the first
+        rows = members().where(F.col("i") % rounds == r)
         pivot = (rows.groupBy(F.col("band").alias("_b"))
                  .agg(F.min(F.struct(F.xxhash64("v", F.lit(r)).alias("h"), "v", "c")).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where("lo < hi").select("_b", F.col("p.v").alias("p"), F.col("p.c").alias("pc")))
