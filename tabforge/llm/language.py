@@ -143,6 +143,7 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_co
     share = F.coalesce(*[F.when(F.col("label") == lab, F.lit(min(1.0, per_class / sizes[lab]))) for lab in labels])
     drawn = (F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))) < share
     slots = 1 << bits
+    names = ["label", "draw", "slots", "counts", "row_slots", "row_counts"]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(slots, dtype=np.int64)  # documents of this task that hold each slot
@@ -153,19 +154,20 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_co
                 seen += counts > 0
                 if take:
                     at = np.flatnonzero(counts)
-                    got.append((label, draw, at.astype(np.int32), counts[at]))
+                    got.append((label, draw, at.astype(np.int32).tobytes(), counts[at].tobytes()))
             if got:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.int64()),
-                     pa.array([g[2] for g in got], pa.list_(pa.int32())), pa.array([g[3] for g in got], pa.list_(pa.int64()))],
-                    names=["label", "draw", "slots", "counts"])
+                     pa.nulls(len(got), pa.list_(pa.int32())), pa.nulls(len(got), pa.list_(pa.int64())),
+                     pa.array([g[2] for g in got], pa.binary()), pa.array([g[3] for g in got], pa.binary())], names=names)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([0], pa.int64()),
                                           pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
-                                          pa.array([seen[at]], pa.list_(pa.int64()))], names=["label", "draw", "slots", "counts"])
+                                          pa.array([seen[at]], pa.list_(pa.int64())), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())],
+                                         names=names)
 
     made = cut_lineage(rows.select("text", "label", "draw", drawn.alias("take"))
-                       .mapInArrow(features, "label string, draw long, slots array<int>, counts array<long>"))
+                       .mapInArrow(features, "label string, draw long, slots array<int>, counts array<long>, row_slots binary, row_counts binary"))
     df_rows = (made.where("label is null").select(F.explode(F.arrays_zip("slots", "counts")).alias("c"))
                .groupBy("c.slots").agg(F.sum("c.counts").alias("n")).collect())  # one row per slot
     seen = np.zeros(slots)
@@ -176,11 +178,11 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", key_co
     model = LanguageModel(labels, idf, bits, n_max)
     index = {lab: i for i, lab in enumerate(labels)}
     sample = []
-    for r in made.where("label is not null").toLocalIterator():
+    for r in made.where("label is not null").select("label", "draw", "row_slots", "row_counts").toLocalIterator():
         counts = np.zeros(slots, dtype=np.int64)
-        counts[np.array(r["slots"], dtype=np.int64)] = r["counts"]
+        counts[np.frombuffer(r["row_slots"], dtype=np.int32)] = np.frombuffer(r["row_counts"], dtype=np.int64)
         at, x = _vector(counts, idf)
-        sample.append((r["draw"], r["label"], at, x))
+        sample.append((r["draw"], r["label"], at.astype(np.int32), x))
     sample.sort(key=lambda r: (r[0], r[1]))  # the same order however Spark returned them
     data = [(at, x, index[lab]) for _, lab, at, x in sample]
     model.fit([d for i, d in enumerate(data) if i % 5], epochs, alpha, l1, l2, seed)

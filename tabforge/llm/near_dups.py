@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,8 +141,8 @@ def _bitmap(keys: DataFrame, log2: int) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> DataFrame:
-    """(key, set): numbered shingles of the texts with these keys, and of few others."""
+def _sets(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> tuple[DataFrame, Broadcast]:
+    """(key, set): numbered shingles of the texts with these keys, and of few others; the bitmap to free after use."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(keys, log2))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,20 +156,22 @@ def _sets(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> DataFrame:
                 np.cumsum([len(s) for s in sets], out=edge[1:])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(edge, np.concatenate(sets))], names=["key", "set"])
 
-    return docs.select("_key", "_text").mapInArrow(read, "key long, set array<long>")
+    return docs.select("_key", "_text").mapInArrow(read, "key long, set array<long>"), wanted
 
 
 def _own_shingles(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> DataFrame:
     """(key, own): how many shingles of each text no other of these texts holds (or fewer)."""
-    held = _sets(docs, keys, size, log2).select("key", F.explode("set").alias("s"))
-    alone = held.groupBy("s").agg(F.count("*").alias("k"), F.min("key").alias("key")).where("k = 1")
-    return alone.groupBy("key").agg(F.count("*").alias("own"))
+    sets, bitmap = _sets(docs, keys, size, log2)
+    alone = sets.select("key", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("key").alias("key")).where("k = 1")
+    own = cut_lineage(alone.groupBy("key").agg(F.count("*").alias("own")))
+    bitmap.unpersist()
+    return own
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, log2: int) -> DataFrame:
     """The pairs (a, b; keys ka, kb) whose multisets overlap by ``threshold`` or more."""
     pairs = cut_lineage(pairs)
-    sets = _sets(docs, pairs.select(F.explode(F.array("ka", "kb")).alias("key")), size, log2)
+    sets, bitmap = _sets(docs, pairs.select(F.explode(F.array("ka", "kb")).alias("key")), size, log2)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +186,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
 
     joined = (pairs.join(sets.select(F.col("key").alias("ka"), F.col("set").alias("x")), "ka")
               .join(sets.select(F.col("key").alias("kb"), F.col("set").alias("y")), "kb").select("a", "b", "x", "y"))
-    return cut_lineage(joined.mapInArrow(compare, "a long, b long").distinct())
+    found = cut_lineage(joined.mapInArrow(compare, "a long, b long").distinct())
+    bitmap.unpersist()
+    return found
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -225,7 +230,7 @@ def _likely(threshold: float):
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
-                    rounds: int = 3, bitmap_log2: int = 26) -> DataFrame:
+                    rounds: int = 3, bitmap_log2: int = 23) -> DataFrame:
     """One row per document: id, class_id, class_size (rows), keep, text_key, linked (the text has a near copy)."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -272,7 +277,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = cut_lineage(members())
     apart = rows.groupBy(F.col("band").alias("_b")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("_b")
     rows = cut_lineage(rows.join(apart, F.col("band") == F.col("_b")).select("v", "band", "c").join(codes_of, "v"))
-    own = cut_lineage(_own_shingles(docs, rows.select("key"), size, bitmap_log2)).withColumnRenamed("key", "_k")
+    own = _own_shingles(docs, rows.select("key"), size, bitmap_log2).withColumnRenamed("key", "_k")
     rows = rows.join(own, F.col("key") == F.col("_k"), "left").drop("_k").withColumn("u", F.col("n") - F.coalesce("own", F.lit(0)))
     rows = rows.where(F.col("u") >= F.lit(threshold) * F.col("n") - 1e-9)
     other = rows.select(F.col("v").alias("p"), F.col("band").alias("pband"), F.col("c").alias("pc"), F.col("key").alias("pkey"), F.col("n").alias("pn"),

@@ -192,7 +192,7 @@ def repeated_stretches(docs: DataFrame, window: int, gram: int, log2: int) -> Da
 
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = 20,
-                     cells_log2: int = 26, keep: list[str] | None = None) -> DataFrame:
+                     cells_log2: int = 25, keep: list[str] | None = None) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_text (kept words joined by a space), changed boolean,
     and the columns of ``df`` named in ``keep``."""
     if not 0 < gram <= window:

@@ -195,6 +195,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
         best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         hits = _selected(rows, handle, kth, k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         results.append(cut_lineage(hits.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")))
+        handle.unpersist()
 
     for row in quantised(queries, id_col, vector_col, scale).toLocalIterator():
         pending.append(row)

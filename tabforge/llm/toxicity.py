@@ -150,14 +150,14 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
 
     def features(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
-            got = [slots_of(t, bits, sizes).astype(np.int32) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int32())), batch.column(1), batch.column(2)],
+            got = [slots_of(t, bits, sizes).astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), batch.column(1), batch.column(2)],
                                              names=["slots", "p", "draw"])
 
-    made = cut_lineage(pos.unionByName(unl).mapInArrow(features, "slots array<int>, p boolean, draw double"))
+    made = cut_lineage(pos.unionByName(unl).mapInArrow(features, "slots binary, p boolean, draw double"))
     held: dict[bool, list[tuple]] = {True: [], False: []}
     for r in made.toLocalIterator():
-        held[r["p"]].append((r["draw"], len(r["slots"]), np.array(r["slots"], dtype=np.int32)))
+        held[r["p"]].append((r["draw"], len(r["slots"]), np.frombuffer(r["slots"], dtype=np.int32)))
     for got in held.values():
         got.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
     p, u = [x[2] for x in held[True][:positives]], [x[2] for x in held[False][:unlabelled]]
