@@ -191,8 +191,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
     return found
 
 
-def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(v, c): the smallest vertex of each linked vertex's component; ``known`` is an earlier answer for some links."""
+def components(links: DataFrame, known: DataFrame | None = None, whole: bool = True) -> DataFrame:
+    """(v, c): the smallest vertex of each linked vertex's component; ``known`` is an earlier answer for some links.
+
+    Without ``whole`` one step is taken: vertices of one name are linked, but linked ones may still differ.
+    """
     both = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     names = both.select(F.col("a").alias("v")).distinct()
     if known is not None:
@@ -209,9 +212,9 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
         hop = low.select(F.col("v").alias("h"), F.col("c").alias("hc"))
         low = low.join(hop, low["c"] == hop["h"], "left").select("v", "was", F.coalesce("hc", "c").alias("c"))
         new = cut_lineage(low)
-        if not new.where("c <> was").limit(1).count():
+        if not whole or new.where("c <> was").isEmpty():
             return new.select("v", "c")
-        names = cut_lineage(new.select("v", "c"))
+        names = new.select("v", "c")
 
 
 def _mismatches(a: str, b: str):
@@ -230,7 +233,7 @@ def _likely(threshold: float):
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
-                    rounds: int = 3, bitmap_log2: int = 23) -> DataFrame:
+                    rounds: int = 2, bitmap_log2: int = 23) -> DataFrame:
     """One row per document: id, class_id, class_size (rows), keep, text_key, linked (the text has a near copy)."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -260,12 +263,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             return multi.withColumn("c", F.col("v"))
         return multi.join(comp, "v", "left").select("v", "i", "band", F.coalesce("c", "v").alias("c"))
 
-    def settle(pairs: DataFrame) -> None:
+    def settle(pairs: DataFrame, last: bool = False) -> None:
         nonlocal links, comp
         new = _verified(docs, pairs.select(F.col("v").alias("a"), F.col("p").alias("b"), F.col("key").alias("ka"), F.col("pkey").alias("kb")),
                         size, threshold, bitmap_log2)
         links = new if links is None else links.unionByName(new)
-        comp = components(links, comp)
+        comp = components(links, comp, last)
 
     for r in range(rounds):  # each round takes its share of the bands: most copies are linked by the first
         rows = members().where(F.col("i") % rounds == r)
@@ -285,7 +288,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     most = F.least("u", "pu")  # the overlap is never larger
     able = most >= F.lit(threshold) * (F.col("n") + F.col("pn") - most) - 1e-9
     settle(rows.join(other, (F.col("band") == F.col("pband")) & (F.col("v") < F.col("p")) & (F.col("c") != F.col("pc")) & able & _likely(threshold))
-           .select("v", "p", "key", "pkey").distinct())
+           .select("v", "p", "key", "pkey").distinct(), last=True)
 
     named = texts.select("v", "f", "g", "n", "rep", "key", "copies").join(comp, "v", "left").withColumn("linked", F.col("c").isNotNull())
     named = named.withColumn("c", F.coalesce("c", "v"))
