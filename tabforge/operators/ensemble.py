@@ -36,14 +36,17 @@ def hard_vote(df: DataFrame, id_col: str = "id", pred: str = "pred", keys=None)
 
 
 def soft_vote(df: DataFrame, id_col: str = "id", proba: str = "proba", keys=None, threshold: float = 0.5,
-              inclusive: bool = True, weights: DataFrame | None = None, model_col: str = "model") -> DataFrame:
+              inclusive: bool = True, weights: DataFrame | None = None, model_col: str = "model",
+              only_weighted: bool = False) -> DataFrame:
     """(weighted) mean probability per id and its thresholded label.
-    ``weights`` is a small ``(model, weight)`` table."""
+    ``weights`` is a small ``(model, weight)`` table. A model without a weight
+    is an error, unless ``only_weighted`` selects the models that have one."""
     keys = as_list(keys)
     x = df
     if weights is not None:
-        x = x.join(checked_broadcast(weights), model_col)
-        p = F.sum(F.col("weight") * F.col(proba)) / F.sum("weight")
+        x = x.join(checked_broadcast(weights), model_col, "inner" if only_weighted else "left")
+        weight = F.coalesce("weight", F.raise_error(F.concat(F.lit("no weight for model "), F.col(model_col).cast("string"))).cast("double"))
+        p = F.sum(weight * F.col(proba)) / F.sum(weight)
     else:
         p = F.avg(proba)
     g = x.groupBy(*keys, id_col).agg(p.alias("proba"))

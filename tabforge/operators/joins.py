@@ -61,11 +61,11 @@ def rule_fill(df: DataFrame, target: str, levels: Sequence[tuple[Sequence[str],
         if keys:
             cur = cur.join(checked_broadcast(r), keys, "left")
         else:
-            cur = cur.crossJoin(F.broadcast(r.limit(1)))
+            cur = cur.crossJoin(F.broadcast(single_row(r)))
         picks.append(F.col(name))
         tmp.append(name)
     if isinstance(default, DataFrame):
-        cur = cur.crossJoin(F.broadcast(default.select(F.col(rule_col).alias("_rule_d")).limit(1)))
+        cur = cur.crossJoin(F.broadcast(single_row(default.select(F.col(rule_col).alias("_rule_d")))))
         picks.append(F.col("_rule_d"))
         tmp.append("_rule_d")
     elif default is not None:
@@ -73,9 +73,16 @@ def rule_fill(df: DataFrame, target: str, levels: Sequence[tuple[Sequence[str],
     return cur.withColumn(out, F.coalesce(*picks)).drop(*tmp)
 
 
+def single_row(df: DataFrame) -> DataFrame:
+    """The one row of ``df`` (nulls if it has none); a second row is an error, not an arbitrary pick."""
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in df.columns])
+    return one.select(*[F.when(F.col("_rows") <= 1, F.col(c)).otherwise(
+        F.raise_error(F.lit(f"more than one row where a single {c} is expected"))).alias(c) for c in df.columns])
+
+
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Attach the columns of a 1-row DataFrame to every row."""
-    return df.crossJoin(F.broadcast(scalars.limit(1)))
+    return df.crossJoin(F.broadcast(single_row(scalars)))
 
 
 def best_match(df: DataFrame, id_col: str, target: str, on: Sequence[str], value: str,

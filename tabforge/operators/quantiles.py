@@ -89,7 +89,9 @@ def value_bucket(v, per_octave: int = 65536):
     (value, count) row before ranking. No sketch pass, no driver round trip."""
     lg = F.floor(F.log2(F.abs(v)) * F.lit(float(per_octave)))
     off = F.lit(1100 * per_octave).cast("long")
-    return (F.when(v > 0, off + lg).when(v < 0, -(off + lg)).when(v == 0, F.lit(0))
+    end = F.lit(3300 * per_octave).cast("long")  # beyond every finite value; NaN sorts last, as in Spark
+    return (F.when(F.isnan(v), end + 1).when(v == float("inf"), end).when(v == float("-inf"), -end)
+            .when(v > 0, off + lg).when(v < 0, -(off + lg)).when(v == 0, F.lit(0))
             .cast("long"))
 
 

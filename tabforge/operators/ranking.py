@@ -25,6 +25,19 @@ def hex_prefix_bucket(col: str | Column, chars: int = 4) -> Column:
     return F.conv(F.substring(c, 1, chars), 16, 10).cast("long")
 
 
+def _renamed(offs: DataFrame, part: list[str]) -> DataFrame:
+    return offs.withColumnsRenamed({c: f"_o{i}_" for i, c in enumerate([*part, "_bk"])})
+
+
+def _null_safe(x: DataFrame, offs: DataFrame, part: list[str]) -> DataFrame:
+    """Join offsets so that null partition keys and null order keys keep their rows."""
+    names = [*part, "_bk"]
+    on = F.lit(True)
+    for i, c in enumerate(names):
+        on = on & x[c].eqNullSafe(offs[f"_o{i}_"])
+    return x.join(offs, on).drop(*[f"_o{i}_" for i in range(len(names))])
+
+
 def bucketed_row_number(df: DataFrame, partition: Sequence[str] | str | None,
                         order: Sequence[Column], bucket: Column, name: str = "rn",
                         max_broadcast_rows: int = 2_000_000) -> DataFrame:
@@ -39,7 +52,7 @@ def bucketed_row_number(df: DataFrame, partition: Sequence[str] | str | None,
     w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("_bk")
     offs = counts.select(*part, "_bk", F.coalesce(
         F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    x = x.join(checked_broadcast(offs, max_broadcast_rows), part + ["_bk"])
+    x = _null_safe(x, checked_broadcast(_renamed(offs, part), max_broadcast_rows), part)
     wi = Window.partitionBy(*part, "_bk").orderBy(*order)
     return x.withColumn(name, F.row_number().over(wi) + F.col("_off")).drop("_bk", "_off")
 
@@ -59,7 +72,7 @@ def bucketed_running_sum(df: DataFrame, partition: Sequence[str] | str | None, o
     frame = w.rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*part, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(frame), F.lit(0)).alias(f"_o_{v}")
                                       for v in vals])
-    x = x.join(checked_broadcast(offs), part + ["_bk"])
+    x = _null_safe(x, checked_broadcast(_renamed(offs, part)), part)
     ordc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     wi = Window.partitionBy(*part, "_bk").orderBy(ordc).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumns({f"{prefix}{v}": F.sum(v).over(wi) + F.col(f"_o_{v}") for v in vals})

@@ -89,7 +89,7 @@ def q_i8(spark, sf):
                     F.round(F.col("amount_b") / (F.col("n_sib") + F.col("n_par") + 1), 6).alias("amount_per_family"))
 
 
-# Prefix classes grouped into survival-like bands.
+# Prefix classes of two bands, chosen for these tables.
 HIGH_PREFIXES = ["PC", "SOTON_O_Q"]
 LOW_PREFIXES = ["A", "W_C"]
 

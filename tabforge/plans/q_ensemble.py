@@ -62,7 +62,7 @@ WITH w AS (SELECT * FROM (VALUES ('m1', CAST(2.0 AS DOUBLE)), ('m2', CAST(1.0 AS
 SELECT id, round(sum(weight * proba) / sum(weight), 6) AS proba, CAST(sum(weight * proba) / sum(weight) >= 0.5 AS INTEGER) AS vote
 FROM scores JOIN w USING (model) GROUP BY id""")
 def q_p5(spark, sf):
-    v = soft_vote(scores(spark, sf), weights=fixed_weights(spark, FIXED_WEIGHTS))
+    v = soft_vote(scores(spark, sf), weights=fixed_weights(spark, FIXED_WEIGHTS), only_weighted=True)
     return v.select("id", F.round("proba", 6).alias("proba"), "vote")
 
 
@@ -73,7 +73,7 @@ SELECT id, round(sum(weight * proba) / sum(weight), 6) AS proba FROM s JOIN w US
 def q_p6(spark, sf):
     s = _s(spark, sf).persist()
     w = normalised_weights(_acc(s), "model", "acc", top_k=2)
-    return soft_vote(s, weights=w).select("id", F.round("proba", 6).alias("proba"))
+    return soft_vote(s, weights=w, only_weighted=True).select("id", F.round("proba", 6).alias("proba"))
 
 
 @query("q_p7_seed_averaging", """
@@ -109,7 +109,7 @@ def q_p9(spark, sf):
         "single": s.where(F.col("model") == "m1").select("id", "proba"),
         "equal": soft_vote(s).select("id", "proba"),
         "weighted": soft_vote(s, weights=normalised_weights(acc, "model", "acc")).select("id", "proba"),
-        "top2": soft_vote(s, weights=normalised_weights(acc, "model", "acc", top_k=2)).select("id", "proba"),
+        "top2": soft_vote(s, weights=normalised_weights(acc, "model", "acc", top_k=2), only_weighted=True).select("id", "proba"),
     }
     cat = None
     for name, df in parts.items():

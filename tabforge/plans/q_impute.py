@@ -101,6 +101,10 @@ best AS (SELECT id, arg_min(region, struct_pack(s := s, r := region)) AS pick FR
 SELECT base.id, coalesce(base.region, best.pick{fallback}) AS region FROM base LEFT JOIN best ON base.id = best.id{fb_join}"""
 
 
+#: Rows without a value, or without a candidate, get the overall mode (ties: the smallest name).
+MODE_JOIN = f" CROSS JOIN (SELECT ({mode_sql('region', 'base WHERE origin = ' + chr(39) + 'train' + chr(39))}) AS v) gm"
+
+
 def _range(spark, sf, key, v, score, keep=None, higher=False, fallback_mode=False):
     b = base(spark, sf)
     tr = b.where(is_train() & F.col("region").isNotNull())
@@ -116,20 +120,21 @@ def _range(spark, sf, key, v, score, keep=None, higher=False, fallback_mode=Fals
 
 
 @query("q_j7_range_fit_iqr_median", RANGE_J.format(
-    key="category", v="amount_a", keep="", fallback="", fb_join="",
+    key="category", v="amount_a", keep="", fallback=", gm.v", fb_join=MODE_JOIN,
     score="CASE WHEN x BETWEEN q25 AND q75 THEN 0 ELSE abs(x - med) END"))
 def q_j7(spark, sf):
     return _range(spark, sf, "category", "amount_a",
-                  lambda x: F.when(x.between(F.col("q25"), F.col("q75")), F.lit(0.0)).otherwise(F.abs(x - F.col("med"))))
+                  lambda x: F.when(x.between(F.col("q25"), F.col("q75")), F.lit(0.0)).otherwise(F.abs(x - F.col("med"))),
+                  fallback_mode=True)
 
 
 @query("q_j8_range_fit_iqr_edge", RANGE_J.format(
-    key="klass", v="amount_b", keep="", fallback="", fb_join="",
+    key="klass", v="amount_b", keep="", fallback=", gm.v", fb_join=MODE_JOIN,
     score="CASE WHEN x BETWEEN q25 AND q75 THEN 0 ELSE least(abs(x - q25), abs(x - q75)) END"))
 def q_j8(spark, sf):
     return _range(spark, sf, "klass", "amount_b",
                   lambda x: F.when(x.between(F.col("q25"), F.col("q75")), F.lit(0.0))
-                  .otherwise(F.least(F.abs(x - F.col("q25")), F.abs(x - F.col("q75")))))
+                  .otherwise(F.least(F.abs(x - F.col("q25")), F.abs(x - F.col("q75")))), fallback_mode=True)
 
 
 @query("q_j9_range_fit_min_max", RANGE_J.format(
