@@ -12,11 +12,15 @@ latest register are never drawn, so that long texts cost about one each shingle.
 128 registers give 25 bands of 5: a pair of similarity 0.8 shares a band with
 probability 1 - (1 - 0.8**5)**25 > 0.9999. Four bits of every register estimate
 the similarity; pairs estimated below 0.62 (over 4.5 standard deviations off at
-0.8) are not read again, all others are verified on their exact multisets.
+0.8) are not read again. 512 parity bits (every shingle flips one) differ in at
+most as many places as two multisets differ in shingles, which proves most pairs
+of shorter texts just below the threshold apart before they are read. All others
+are verified on their exact multisets.
 
 Hot groups: equal multisets are one text (a partial aggregate); in a band bucket
-every text meets a pivot only, over several rounds of bands; buckets whose
-texts are of one component are done. What is left are texts of different
+every text meets a pivot only, over several rounds of bands. The pivot is the text
+with the fullest buckets over all bands, as the texts nearest to the middle of a
+group have the most links; buckets whose texts are of one component are done. What is left are texts of different
 components in one bucket. Shingles that only one of them holds bound what it can
 share: a text of n shingles, u of them its own, overlaps another by n - u at most,
 which proves most of them apart without a pair. The rest is compared pair by
@@ -44,6 +48,7 @@ from tabforge.llm.words import mix, powers, shingle_hashes, word_hashes
 from tabforge.session import cut_lineage
 
 REGISTERS, BANDS, BAND_ROWS, NIBBLES = 128, 25, 5, 8
+PARITIES = 8  # words of 64 bits
 _MAX_MISMATCH = 45  # of 128 four-bit codes
 _ONES = 0x1111111111111111
 _MASK = 2 ** 64 - 1
@@ -88,10 +93,20 @@ def text_shingles(text: str | None, size: int) -> np.ndarray:
 
 def numbered(shingles: np.ndarray) -> np.ndarray:
     """A multiset as a sorted set: the nth copy of a hash becomes a hash of both."""
-    value, count = np.unique(shingles, return_counts=True)
+    return np.sort(_numbered(*np.unique(shingles, return_counts=True)))
+
+
+def _numbered(value: np.ndarray, count: np.ndarray) -> np.ndarray:
     again = np.repeat(value, count)
     nth = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
-    return np.sort(mix(again + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), seed=9))
+    return mix(again + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), seed=9)
+
+
+def parity(value: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """(PARITIES,) int64: each member of the multiset flips one bit."""
+    cells = (_numbered(value, count) >> np.uint64(33)).astype(np.int64) % (64 * PARITIES)
+    odd = (np.bincount(cells, minlength=64 * PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
 
 
 def _sketch(size: int, names: list[str]):
@@ -104,14 +119,19 @@ def _sketch(size: int, names: list[str]):
                 prints = np.array([[int(mix(s, seed=21).sum()), int(mix(s, seed=22).sum())] for s in all_], dtype=np.uint64).reshape(-1, 2).view(np.int64)
                 full = np.flatnonzero(n)
                 signature = np.zeros((len(n), REGISTERS), dtype=np.uint64)
-                signature[full] = bag_signatures([np.unique(all_[i], return_counts=True) for i in full]).view(np.uint64)
+                bags = [np.unique(all_[i], return_counts=True) for i in full]
+                signature[full] = bag_signatures(bags).view(np.uint64)
+                odd = np.zeros((len(n), PARITIES), dtype=np.int64)
+                for i, bag in zip(full, bags, strict=True):
+                    odd[i] = parity(*bag)
                 grouped = mix(signature[:, :BANDS * BAND_ROWS]).reshape(len(n), BANDS, BAND_ROWS)
                 bands = mix((grouped * powers(0x9E3779B97F4A7C15, BAND_ROWS)).sum(axis=2) + np.arange(BANDS, dtype=np.uint64))
                 code = (mix(signature, seed=77) & np.uint64(15)).reshape(len(n), NIBBLES, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
                 code = np.bitwise_or.reduce(code, axis=2)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                     _fixed(bands.view(np.int64)), *(pa.array(code[:, i].view(np.int64)) for i in range(NIBBLES))], names=names)
+                     _fixed(bands.view(np.int64)), *(pa.array(code[:, i].view(np.int64)) for i in range(NIBBLES)),
+                     *(pa.array(odd[:, i]) for i in range(PARITIES))], names=names)
     return work
 
 
@@ -226,10 +246,18 @@ def _mismatches(a: str, b: str):
     return total
 
 
+def _odd_places(a: str, b: str):
+    total = F.lit(0)
+    for i in range(PARITIES):
+        total = total + F.bit_count(F.col(f"{a}o{i}").bitwiseXOR(F.col(f"{b}o{i}")))
+    return total
+
+
 def _likely(threshold: float):
-    """Sizes that allow the similarity, and enough equal register codes."""
+    """Sizes and parities that allow the similarity, and enough equal register codes."""
+    differ = (F.col("n") + F.col("pn")) * F.lit((1 - threshold) / (1 + threshold))  # shingles of one text only, at most
     return ((F.least("pn", "n") >= F.lit(threshold) * F.greatest("pn", "n"))
-            & (_mismatches("", "p") <= _MAX_MISMATCH))
+            & (_odd_places("", "p") <= differ + 1e-6) & (_mismatches("", "p") <= _MAX_MISMATCH))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
@@ -239,7 +267,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     docs = docs.withColumn("_key", F.xxhash64("_id", "_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
-    codes = [f"s{i}" for i in range(NIBBLES)]
+    codes = [f"s{i}" for i in range(NIBBLES)] + [f"o{i}" for i in range(PARITIES)]
     names = ["_id", "_key", "n", "f", "g", "bands", *codes]
     sketched = cut_lineage(docs.select("_id", "_key", "_text").mapInArrow(
         _sketch(size, names), f"_id {id_type}, _key long, n long, f long, g long, bands array<long>, " + ", ".join(f"{c} long" for c in codes)))
@@ -250,8 +278,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                      F.col("_first._key").alias("key"), "copies", "bands", *codes))
     texts = cut_lineage(texts)  # from here the numbers v are fixed
     band = texts.select("v", F.posexplode("bands").alias("i", "band"))
-    crowded = band.groupBy(F.col("band").alias("_b")).agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    multi = cut_lineage(band.join(crowded, F.col("band") == F.col("_b")).select("v", "i", "band"))
+    crowded = band.groupBy(F.col("band").alias("_b")).agg(F.count("*").alias("k")).where("k > 1")
+    multi = band.join(crowded, F.col("band") == F.col("_b")).select("v", "i", "band", "k")
+    crowd = multi.groupBy(F.col("v").alias("_v")).agg(F.sum("k").alias("crowd"))
+    multi = cut_lineage(multi.join(crowd, F.col("v") == F.col("_v")).select("v", "i", "band", "crowd"))
     codes_of = texts.select("v", "key", "n", *codes)
     pivot_codes = codes_of.select(F.col("v").alias("p"), F.col("key").alias("pkey"), F.col("n").alias("pn"), *[F.col(c).alias(f"p{c}") for c in codes])
 
@@ -261,7 +291,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def members() -> DataFrame:
         if comp is None:
             return multi.withColumn("c", F.col("v"))
-        return multi.join(comp, "v", "left").select("v", "i", "band", F.coalesce("c", "v").alias("c"))
+        return multi.join(comp, "v", "left").select("v", "i", "band", "crowd", F.coalesce("c", "v").alias("c"))
 
     def settle(pairs: DataFrame, last: bool = False) -> None:
         nonlocal links, comp
@@ -273,7 +303,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for r in range(rounds):  # each round takes its share of the bands: most copies are linked by the first
         rows = members().where(F.col("i") % rounds == r)
         pivot = (rows.groupBy(F.col("band").alias("_b"))
-                 .agg(F.min(F.struct(F.xxhash64("v", F.lit(r)).alias("h"), "v", "c")).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+                 .agg(F.min(F.struct((-F.col("crowd")).alias("h"), "v", "c")).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where("lo < hi").select("_b", F.col("p.v").alias("p"), F.col("p.c").alias("pc")))
         star = rows.join(pivot, F.col("band") == F.col("_b")).where("c <> pc").select("v", "p").distinct()
         settle(star.join(codes_of, "v").join(pivot_codes, "p").where(_likely(threshold)))

@@ -152,6 +152,17 @@ def test_bag_signatures_are_unbiased():
     assert abs(np.mean(agree)) < 0.03
 
 
+def test_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(3)
+    for k in rng.integers(0, 60, 200):
+        a = rng.integers(0, 70, 150).astype(np.uint64)  # repeats among them
+        b = a.copy()
+        b[:k] = rng.integers(0, 90, k)
+        odd = [near_dups.parity(*np.unique(x, return_counts=True)) for x in (a, b)]
+        places = int(np.unpackbits((odd[0] ^ odd[1]).view(np.uint8)).sum())
+        assert places <= len(np.setxor1d(near_dups.numbered(a), near_dups.numbered(b)))
+
+
 def test_words_match_bytes_split():
     text = "a  bé\x0bc\n　d ".encode()
     assert len(words.word_hashes(text)) == len(text.split())
