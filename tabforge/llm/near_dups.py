@@ -36,12 +36,13 @@ with the class's smallest id and text (equal repeated rows are all marked, see
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm.words import mix, powers, shingle_hashes, word_hashes
@@ -185,6 +186,8 @@ def _own_shingles(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> Dat
     alone = sets.select("key", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("key").alias("key")).where("k = 1")
     own = cut_lineage(alone.groupBy("key").agg(F.count("*").alias("own")))
     bitmap.unpersist()
+    del sets, alone
+    _release(docs.sparkSession)
     return own
 
 
@@ -208,9 +211,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
               .join(sets.select(F.col("key").alias("kb"), F.col("set").alias("y")), "kb").select("a", "b", "x", "y"))
     found = cut_lineage(joined.mapInArrow(compare, "a long, b long").distinct())
     bitmap.unpersist()
+    del joined, sets
+    _release(docs.sparkSession)
     return found
 
 
+def _release(spark: SparkSession) -> None:
+    """Executors delete shuffle files only once the driver has collected what refers to them, which a calm driver puts off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(links: DataFrame, known: DataFrame | None = None, whole: bool = True) -> DataFrame:
     """(v, c): the smallest vertex of each linked vertex's component; ``known`` is an earlier answer for some links.
 
@@ -232,6 +243,8 @@ def components(links: DataFrame, known: DataFrame | None = None, whole: bool = T
         hop = low.select(F.col("v").alias("h"), F.col("c").alias("hc"))
         low = low.join(hop, low["c"] == hop["h"], "left").select("v", "was", F.coalesce("hc", "c").alias("c"))
         new = cut_lineage(low)
+        del near, low, roots, hop
+        _release(links.sparkSession)
         if not whole or new.where("c <> was").isEmpty():
             return new.select("v", "c")
         names = new.select("v", "c")
@@ -282,6 +295,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     multi = band.join(crowded, F.col("band") == F.col("_b")).select("v", "i", "band", "k")
     crowd = multi.groupBy(F.col("v").alias("_v")).agg(F.sum("k").alias("crowd"))
     multi = cut_lineage(multi.join(crowd, F.col("v") == F.col("_v")).select("v", "i", "band", "crowd"))
+    del band, crowded, crowd
+    _release(spark)
     codes_of = texts.select("v", "key", "n", *codes)
     pivot_codes = codes_of.select(F.col("v").alias("p"), F.col("key").alias("pkey"), F.col("n").alias("pn"), *[F.col(c).alias(f"p{c}") for c in codes])
 
