@@ -12,9 +12,12 @@ text holds must reach ``containment``. A notice below five words is one shingle
 of all its words, and its windows have that length.
 
 Templates are parameters: their bands and shingles are literals of the plan (a
-few kilobytes). Windows are exploded and tested inside one generated stage;
-only hits leave it, so a hot notice costs its hits, summed by a partial
-aggregate, and no text is shuffled.
+few kilobytes). A text's words are zipped with themselves shifted, so that an
+exploded window carries its own six words and never the text; windows are hashed
+and tested inside one generated stage. What leaves it are windows that a band
+retrieved and shingles of a template, each once a text by a partial aggregate:
+a template counts where a window retrieved it, and its containment is the exact
+number of its shingles in the text. No text is shuffled.
 
 Defined results: a null or empty text, or one without any template, gives no
 row; repeated rows (same id and text) give one row for each license; an empty
@@ -45,13 +48,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}](?:[\p{L}\p{N}.\-]*[\p{L}\p{N}])?)"), F.lit(1))
 
 
-def _shingle(w: Column, at: Column, size: int) -> Column:
-    """Hash of ``size`` words from ``at`` (from 0); null beyond the end."""
-    return F.when(at + size <= F.size(w), F.xxhash64(*[F.get(w, at + i) for i in range(size)]))
-
-
-def _shingles_from(size: int):
-    return lambda at: _shingle(F.col("w"), at, size)
+def _shingle(parts: list[Column]) -> Column:
+    """Hash of these words; null beyond the end of the text."""
+    return F.when(parts[-1].isNotNull(), F.xxhash64(*parts))
 
 
 def _band(first: Column, second: Column | None, band: int) -> Column:
@@ -68,51 +67,60 @@ def _templates(spark, templates: dict[str, str], size: int, bands: int) -> list[
         k = min(size, n)
         if not k:
             continue
-        w = F.array(*map(F.lit, row["w"]))
-        hashes = [_shingle(w, F.lit(i), k) for i in range(n - k + 1)]
+        hashes = [_shingle([F.lit(x) for x in row["w"][i:i + k]]) for i in range(n - k + 1)]
         pairs = list(zip(hashes, hashes[1:], strict=False)) or [(hashes[0], None)]
         got = spark.range(1).select(F.array(*hashes).alias("h"), *[F.array(*[_band(a, b, j) for a, b in pairs]).alias(f"b{j}") for j in range(bands)]).first()
         out.append({"name": row["name"], "size": k, "shingles": sorted(set(got["h"])), "bands": [sorted(set(got[f"b{j}"])) for j in range(bands)]})
     return out
 
 
+def _any(tests: list[Column]) -> Column:
+    out = F.lit(False)
+    for test in tests:
+        out |= F.coalesce(test, F.lit(False))
+    return out
+
+
 def scan_licenses(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
                   size: int = 5, bands: int = 8, containment: float = 0.8) -> DataFrame:
     """One row per document and license found: id, license, containment, first_word (of the first retrieved window, from 0)."""
     known = _templates(df.sparkSession, TEMPLATES if templates is None else templates, size, bands)
-    docs = (df.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_key"), words(F.col(text_col)).alias("w"))
-            .where(F.size("w") > 0))
-    rows = docs.select("_id", "_key", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"))
-    at, w = F.col("at"), F.col("w")
-    hits: list[tuple[str, Column]] = []
-    for k in sorted({t["size"] for t in known}):
-        rows = rows.withColumn(f"h{k}", _shingle(w, at, k))
-        first, second = F.col(f"h{k}"), _shingle(w, at + 1, k) if k == size else None
-        if second is not None:
-            rows = rows.withColumn("next", second)
-            second = F.col("next")
-        for j in range(bands if k == size else 1):
-            rows = rows.withColumn(f"b{k}_{j}", F.when(first.isNotNull(), _band(first, second, j)))
-    for t in known:
-        k = t["size"]
-        test = F.lit(False)
-        for j in range(bands if k == size else 1):
-            test |= F.coalesce(F.col(f"b{k}_{j}").isin(t["bands"][j]), F.lit(False))
-        hits.append((t["name"], test))
-    if not hits:
+    if not known:
         return df.select(F.col(id_col), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).limit(0)
-    any_ = F.lit(False)
-    for k in sorted({t["size"] for t in known}):
-        for j in range(bands if k == size else 1):
-            any_ |= F.coalesce(F.col(f"b{k}_{j}").isin(sorted({v for t in known if t["size"] == k for v in t["bands"][j]})), F.lit(False))
-    found = rows.where(any_).select("_id", "_key", "w", "at", F.explode(F.array_compact(F.array(
-        *[F.when(test, F.lit(name)) for name, test in hits]))).alias("license"))
-    share = F.lit(0.0)
+    docs = df.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_key"), words(F.col(text_col)).alias("w"))
+    # the explode takes the zip itself: an inferred filter on a named array would tokenise twice
+    shifted = F.arrays_zip("w", *[F.slice("w", i + 1, F.size("w")).alias(f"w{i}") for i in range(1, size + 1)])
+    at = docs.select("_id", "_key", F.posexplode(shifted).alias("at", "c"))
+    word = [F.col("c.w"), *[F.col(f"c.w{i}") for i in range(1, size + 1)]]
+    sizes = sorted({t["size"] for t in known})
+    hashed = F.struct(*[_shingle(word[:k]).alias(f"h{k}") for k in sizes], _shingle(word[1:]).alias("next"))
+    # an array of one struct: what reads the hashes below doesn't compute them again
+    rows = at.select("_id", "_key", "at", F.explode(F.array(hashed)).alias("h"))
+
+    def window(k: int, j: int) -> Column:
+        return _band(F.col(f"h.h{k}"), F.col("h.next") if k == size else None, j)
+
+    def bands_of(k: int) -> range:
+        return range(bands if k == size else 1)
+
+    def found_in(own: list[dict], k: int) -> tuple[Column, Column]:
+        """(a band retrieves the window, its first shingle is one of theirs)."""
+        first = F.col(f"h.h{k}")
+        by_band = [window(k, j).isin(sorted({v for t in own for v in t["bands"][j]})) for j in bands_of(k)]
+        return first.isNotNull() & _any(by_band), F.coalesce(first.isin(sorted({v for t in own for v in t["shingles"]})), F.lit(False))
+
+    tests = [test for k in sizes for test in found_in([t for t in known if t["size"] == k], k)]
+    marks = []
     for t in known:
-        own = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("w") - t["size"])), _shingles_from(t["size"]))
-        share = F.when(F.col("license") == t["name"], F.size(F.array_intersect(own, F.array(*map(F.lit, t["shingles"])))) / len(t["shingles"])).otherwise(share)
-    # one row for each text and license before the exact check
-    first = (found.groupBy("_id", "_key", "license").agg(F.min("at").alias("first_word"), F.first("w").alias("w"))
-             .withColumn("containment", share))
-    return (first.where(F.col("containment") >= containment)
+        retrieved, held = found_in([t], t["size"])
+        mark = F.struct(F.lit(t["name"]).alias("license"), F.when(held, F.col(f"h.h{t['size']}")).alias("shingle"),
+                        F.when(retrieved, F.col("at")).alias("at"))
+        marks.append(F.when(retrieved | held, mark))
+    found = rows.where(_any(tests)).select("_id", "_key", F.explode(F.array_compact(F.array(*marks))).alias("m"))
+    once = (found.select("_id", "_key", "m.license", "m.shingle", "m.at").groupBy("_id", "_key", "license", "shingle")
+            .agg(F.min("at").alias("first_word")))
+    number = F.coalesce(*[F.when(F.col("license") == t["name"], F.lit(len(t["shingles"]))) for t in known])
+    return (once.groupBy("_id", "_key", "license").agg(F.min("first_word").alias("first_word"), F.count("shingle").alias("held"))
+            .withColumn("containment", F.col("held") / number)
+            .where(F.col("first_word").isNotNull() & (F.col("containment") >= containment))
             .select(F.col("_id").alias(id_col), "license", F.round("containment", 6).alias("containment"), "first_word"))
