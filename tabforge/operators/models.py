@@ -13,8 +13,10 @@ import hashlib
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -24,6 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.operators.encode import standard_scaler
+from tabforge.operators.folds import stratified_folds
+from tabforge.session import cut_lineage
+
+#: Model fits that run at the same time.
+PARALLEL = 4
 
 
 @dataclass
@@ -136,17 +143,25 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str =
     return FittedModel(spec, pipe, features, scaler, rff)
 
 
+def _side_by_side(spark: SparkSession, task, items: Sequence) -> list:
+    """``task`` of every item, up to ``PARALLEL`` at once (as CrossValidator's parallelism), results in order."""
+    with ThreadPool(max(1, min(PARALLEL, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), items, chunksize=1)
+
+
 def oof_predictions(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str = "label",
                     id_col: str = "id", fold_col: str = "fold", seed: int = 42) -> DataFrame:
     """M7: out-of-fold predictions; one Spark ML fit per fold (the fold list is
-    a small distinct set), union of the held-out transforms."""
+    a small distinct set, fitted side by side), union of the held-out transforms."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    parts = []
-    for f in folds:
+
+    def part(f):
         tr, va = df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)
         m = fit(spec, tr, features, label, seed)
-        parts.append(m.predict(va).select(id_col, F.lit(spec.name).alias("model"), F.lit(seed).alias("seed"),
-                                           F.col(fold_col).alias("fold"), F.col(label).alias("label"), "proba", "pred"))
+        return m.predict(va).select(id_col, F.lit(spec.name).alias("model"), F.lit(seed).alias("seed"),
+                                    F.col(fold_col).alias("fold"), F.col(label).alias("label"), "proba", "pred")
+
+    parts = _side_by_side(df.sparkSession, part, folds)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -181,14 +196,16 @@ def train_score(spec: ModelSpec, df: DataFrame, features: Sequence[str], label:
 
 def evaluate(specs: Sequence[ModelSpec], df: DataFrame, features: Sequence[str], label: str = "label",
              id_col: str = "id", fold_col: str = "fold", seed: int = 42, with_train: bool = True) -> DataFrame:
-    """M11 building block: CV table for a list of configurations."""
-    rows = None
+    """M11 building block: CV table for a list of configurations. A
+    configuration gives one row, which is taken at once, so that the plan and
+    the driver never hold the models of a long list."""
+    rows = []
     for s in specs:
         oof = oof_predictions(df, s, features, label, id_col, fold_col, seed)
         tr = train_score(s, df, features, label, seed) if with_train else None
         r = cv_summary(oof, tr)
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+        rows += r.collect()  # one row
+    return df.sparkSession.createDataFrame(rows, r.schema)
 
 
 def md5_uniform(*parts) -> float:
@@ -254,6 +271,37 @@ def stack_frame(oof: DataFrame, id_col: str = "id", model_col: str = "model", pr
     return oof.groupBy(id_col, "label").pivot(model_col, models).agg(F.first(proba))
 
 
+def stacked_oof(df: DataFrame, bases: Sequence[ModelSpec], metas: Sequence[tuple[ModelSpec, Sequence[str]]],
+                features: Sequence[str], label: str = "label", id_col: str = "id", fold_col: str = "fold",
+                inner_folds: int = 5, seed: int = 42) -> DataFrame:
+    """Out-of-fold predictions of stacked models, nested. In the training
+    part of each outer fold the bases give out-of-fold probabilities over
+    ``inner_folds``, on which the metas are fitted; the bases fitted on the
+    whole part give the metas' inputs for the held-out fold. A meta comes with
+    the original features that it also reads (none without passthrough)."""
+    names = [b.name for b in bases]
+    keep = sorted({c for _, extra in metas for c in extra})
+    parts = []
+    for f in sorted(r[0] for r in df.select(fold_col).distinct().collect()):
+        tr, va = df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)
+        inner = cut_lineage(stratified_folds(tr.drop(fold_col), id_col, label, inner_folds, seed, fold_col))
+        x, y = inner.select(id_col, label, *keep), va.select(id_col, label, *keep)
+        for b in bases:
+            oof = oof_predictions(inner, b, features, label, id_col, fold_col, seed)
+            x = x.join(oof.select(id_col, F.col("proba").alias(b.name)), id_col)
+            held = fit(b, tr, features, label, seed).predict(va)
+            y = y.join(held.select(id_col, F.col("proba").alias(b.name)), id_col)
+        x, y = cut_lineage(x), cut_lineage(y)
+        for spec, extra in metas:
+            m = fit(spec, x, names + list(extra), label, seed)
+            parts.append(m.predict(y).select(id_col, F.lit(spec.name).alias("model"), F.lit(seed).alias("seed"),
+                                             F.lit(f).alias("fold"), F.col(label).alias("label"), "proba", "pred"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def linear_r2(df: DataFrame, target: str, regressors: Sequence[str]) -> float:
     """R^2 of a Spark ``LinearRegression`` (used for VIF cross-checks)."""
     x = VectorAssembler(inputCols=list(regressors), outputCol="_x").transform(df.dropna(subset=[target, *regressors]))

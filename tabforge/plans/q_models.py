@@ -1,6 +1,6 @@
 """Model training, validation sweeps, stacking and calibration (L*, M6-M24,
-P10-P12, J17, J19). Configurations are kept small for the driver's check
-(3 folds, at most 20 trees / 10 boosting rounds); every size is a parameter. These train Spark ML models, so they are checked by row
+P10-P12, J17, J19) at the reference's sizes: 5 folds, 100 trees or boosting
+rounds, 50 trials of a search. These train Spark ML models, so they are checked by row
 counts and invariant tests rather than an SQL oracle — except L8, whose
 single-regressor R^2 is plain SQL."""
 
@@ -12,15 +12,15 @@ from tabforge.operators.folds import group_folds
 from tabforge.operators.impute import ChainedLinearImputer
 from tabforge.operators.metrics import brier
 from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores, isotonic_calibrated_oof,
-                                       oof_predictions, random_configs, stack_frame, train_score)
+                                       oof_predictions, random_configs, stack_frame, stacked_oof, train_score)
 from tabforge.operators.profile import correlations
 from tabforge.plans.fixtures import base
 from tabforge.plans.recipes import MODEL_FEATURES, model_frame
 from tabforge.plans.registry import query
 
-LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 100})
-FOREST = ModelSpec("forest", "forest", {"n_trees": 20, "max_depth": 5, "min_samples_split": 4})
-BOOST = ModelSpec("gbt", "gbt", {"n_rounds": 10, "max_depth": 3, "learning_rate": 0.1})
+LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 1000})
+FOREST = ModelSpec("forest", "forest", {"n_trees": 100, "max_depth": 5, "min_samples_split": 4})
+BOOST = ModelSpec("gbt", "gbt", {"n_rounds": 100, "max_depth": 3, "learning_rate": 0.1})
 
 
 def _train(spark, sf):
@@ -46,7 +46,7 @@ def q_l1(spark, sf):
 
 @query("q_l2_logistic_elastic_net")
 def q_l2(spark, sf):
-    return _cv(spark, sf, ModelSpec("enet", "logreg", {"C": 0.1, "l1_ratio": 0.5}))
+    return _cv(spark, sf, ModelSpec("enet", "logreg", {"C": 0.1, "l1_ratio": 0.5, "max_iter": 2000}))
 
 
 @query("q_l3_random_forest")
@@ -61,18 +61,19 @@ def q_l4(spark, sf):
 
 @query("q_l5_leafwise_boosting_config")
 def q_l5(spark, sf):
-    return _cv(spark, sf, ModelSpec("leafwise", "gbt", {"n_rounds": 10, "max_depth": 4, "learning_rate": 0.05,
+    return _cv(spark, sf, ModelSpec("leafwise", "gbt", {"n_rounds": 100, "max_depth": 4, "learning_rate": 0.05,
                                                          "min_gain": 0.01, "max_features": "sqrt", "min_leaf": 5}))
 
 
-# Four regularisation levels of the boosted-tree family.
-REG_LEVELS = {"light": (4, 0.1, 1.0), "medium": (3, 0.1, 0.8), "strong": (2, 0.05, 0.7), "very_strong": (1, 0.05, 0.6)}
+# Four regularisation levels of the boosted-tree family (depth, learning rate, subsample, rounds).
+REG_LEVELS = {"light": (4, 0.1, 1.0, 100), "medium": (3, 0.1, 0.8, 100), "strong": (2, 0.05, 0.7, 100),
+              "very_strong": (1, 0.05, 0.6, 50)}
 
 
 @query("q_l6_regularised_boosting_configs")
 def q_l6(spark, sf):
-    specs = [ModelSpec(f"gbt_{k}", "gbt", {"n_rounds": 8, "max_depth": d, "learning_rate": lr, "subsample": ss})
-             for k, (d, lr, ss) in REG_LEVELS.items()]
+    specs = [ModelSpec(f"gbt_{k}", "gbt", {"n_rounds": n, "max_depth": d, "learning_rate": lr, "subsample": ss})
+             for k, (d, lr, ss, n) in REG_LEVELS.items()]
     return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES),
                   ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
@@ -125,7 +126,7 @@ def _sweep(spark, sf, specs, sets):
 
 @query("q_l12_baseline_model_family")
 def q_l12(spark, sf):
-    return _sweep(spark, sf, [LOGREG, FOREST], {k: FEATURE_SETS[k] for k in ["fs3", "fs5"]})
+    return _sweep(spark, sf, [LOGREG, FOREST, BOOST], FEATURE_SETS)
 
 
 @query("q_m6_cross_validated_score")
@@ -183,7 +184,7 @@ def q_m13(spark, sf):
 
 @query("q_m14_regularisation_grid")
 def q_m14(spark, sf):
-    specs = [ModelSpec(f"gbt_d{d}_lr{lr}", "gbt", {"n_rounds": 8, "max_depth": d, "learning_rate": lr})
+    specs = [ModelSpec(f"gbt_d{d}_lr{lr}", "gbt", {"n_rounds": 100, "max_depth": d, "learning_rate": lr})
              for d in (1, 2, 3) for lr in (0.05, 0.1)]
     return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES), ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
@@ -194,19 +195,21 @@ C_PATH = [0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 10.0]
 
 @query("q_m15_c_value_path")
 def q_m15(spark, sf):
-    specs = [ModelSpec(f"logreg_C{c}", "logreg", {"C": c}) for c in C_PATH]
+    specs = [ModelSpec(f"logreg_C{c}", "logreg", {"C": c, "max_iter": 1000}) for c in C_PATH]
     r = evaluate(specs, _train(spark, sf), MODEL_FEATURES)
     return _round(r, ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
 
 # Search space of the seeded random search.
-FOREST_SPACE = {"n_trees": ("int", 10, 30), "max_depth": ("int", 2, 8), "min_samples_split": ("int", 2, 10),
-                "max_features": ("cat", ["sqrt", "log2", "all"])}
+FOREST_SPACE = {"n_trees": ("int", 50, 200), "max_depth": ("int", 3, 10), "min_samples_split": ("int", 2, 20),
+                "min_samples_leaf": ("int", 1, 10), "max_features": ("cat", ["sqrt", "log2", "all"]),
+                "bootstrap": ("cat", [True, False])}
+N_TRIALS = 50
 
 
 @query("q_m16_random_search")
 def q_m16(spark, sf):
-    specs = random_configs("forest", "forest", FOREST_SPACE, 4)
+    specs = random_configs("forest", "forest", FOREST_SPACE, N_TRIALS)
     r = evaluate(specs, _train(spark, sf), MODEL_FEATURES, with_train=False)
     params = spark.createDataFrame([(s.name, str(sorted(s.params.items()))) for s in specs], "model string, params string")
     r = r.join(params, "model")
@@ -219,16 +222,25 @@ def q_m16(spark, sf):
 def q_m22(spark, sf):
     t = _train(spark, sf)
     strat = cv_summary(oof_predictions(t, FOREST, MODEL_FEATURES)).withColumn("strategy", F.lit("stratified"))
-    g = group_folds(t.drop("fold"), "ticket", 3, label="label")
+    g = group_folds(t.drop("fold"), "ticket", 5, label="label")
     grp = cv_summary(oof_predictions(g, FOREST, MODEL_FEATURES)).withColumn("strategy", F.lit("group"))
     return _round(strat.unionByName(grp), ["cv_score", "cv_std", "oof_score"])
 
 
+# Configurations of the final fit; the best by out-of-fold accuracy is fitted on all train rows.
+FINAL_CONFIGS = [ModelSpec(f"forest_d{d}", "forest", {"n_trees": 100, "max_depth": d, "min_samples_split": split,
+                                                      "min_samples_leaf": leaf})
+                 for d, split, leaf in [(4, 15, 5), (5, 10, 4), (6, 10, 4)]] + [BOOST]
+
+
 @query("q_m24_final_fit_and_write")
 def q_m24(spark, sf):
     from tabforge.sources.files import scratch_path, write_predictions
     f = model_frame(spark, sf)
-    m = fit(BOOST, f.where(F.col("origin") == "train"), MODEL_FEATURES)
+    t = f.where(F.col("origin") == "train")
+    table = evaluate(FINAL_CONFIGS, t, MODEL_FEATURES, with_train=False)
+    best = table.orderBy(F.col("oof_score").desc(), "model").first()["model"]
+    m = fit(next(s for s in FINAL_CONFIGS if s.name == best), t, MODEL_FEATURES)
     pred = m.predict(f.where(F.col("origin") == "serve")).select("id", F.col("pred").alias("label"))
     path = scratch_path(spark, "final_predictions")
     n = pred.count()
@@ -250,20 +262,10 @@ def q_p10(spark, sf):
 
 @query("q_p11_stacking_passthrough")
 def q_p11(spark, sf):
-    t = _train(spark, sf)
-    oof = None
-    for s in (LOGREG, FOREST):
-        o = oof_predictions(t, s, MODEL_FEATURES)
-        oof = o if oof is None else oof.unionByName(o)
-    st = stack_frame(oof, models=["logreg", "forest"]).join(t.select("id", "fold", *MODEL_FEATURES), "id")
-    out = None
-    for c in (0.1, 1.0):
-        for passthrough in (False, True):
-            feats = ["logreg", "forest"] + (MODEL_FEATURES if passthrough else [])
-            spec = ModelSpec(f"stack_C{c}_{'pass' if passthrough else 'plain'}", "logreg", {"C": c})
-            r = cv_summary(oof_predictions(st, spec, feats))
-            out = r if out is None else out.unionByName(r)
-    return _round(out, ["cv_score", "cv_std", "oof_score"])
+    metas = [(ModelSpec(f"stack_C{c}_{'pass' if extra else 'plain'}", "logreg", {"C": c, "max_iter": 1000}), extra)
+             for c in (0.1, 0.5, 1.0) for extra in ([], MODEL_FEATURES)]
+    oof = stacked_oof(_train(spark, sf), [LOGREG, FOREST, BOOST], metas, MODEL_FEATURES)
+    return _round(cv_summary(oof), ["cv_score", "cv_std", "oof_score"])
 
 
 @query("q_p12_isotonic_calibration")

@@ -35,7 +35,7 @@ MODEL_FEATURES = BASIC_FEATURES + ["amount_b"]
 _FRAMES: dict = {}
 
 
-def model_frame(spark, sf_dir: str, k: int = 3) -> DataFrame:
+def model_frame(spark, sf_dir: str, k: int = 5) -> DataFrame:
     """Train rows of the basic recipe plus the (train-median filled) amount_b
     and a stratified fold column; materialised once per session and scale in
     the shared checkpoint folder, so every model query reuses it and the
