@@ -300,5 +300,5 @@ def q_j17(spark, sf):
 @query("q_j19_iterative_imputation")
 def q_j19(spark, sf):
     b = base(spark, sf).select("id", "amount_a", "amount_b", "n_sib", "n_par")
-    m = ChainedLinearImputer(["amount_a", "amount_b"], ["n_sib", "n_par"], max_rounds=3).fit(b)
+    m = ChainedLinearImputer(["amount_a", "amount_b"], ["n_sib", "n_par"]).fit(b)
     return _round(m.transform(b).select("id", "amount_a", "amount_b"), ["amount_a", "amount_b"])

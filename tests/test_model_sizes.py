@@ -30,3 +30,17 @@ def test_stacking_never_sees_the_held_out_labels(spark):
     assert len(got) == 2 * t.where("fold = 0").count()
     flipped = t.withColumn("label", F.when(F.col("fold") == 0, 1 - F.col("label")).otherwise(F.col("label")))
     assert first_fold(flipped) == got
+
+
+def test_chained_imputation_runs_all_rounds(spark, monkeypatch):
+    from tabforge.operators.impute import ChainedLinearImputer
+    from tabforge.plans import q_models as Q
+    steps, fit = [], ChainedLinearImputer.fit
+
+    def kept(self, df):
+        steps.append(fit(self, df))
+        return steps[-1]
+
+    monkeypatch.setattr(ChainedLinearImputer, "fit", kept)
+    Q.q_j19(spark, SF_SMALL)
+    assert [len(m.steps) for m in steps] == [20]  # ten rounds of two columns
