@@ -13,7 +13,7 @@ from tabforge.operators.impute import ChainedLinearImputer
 from tabforge.operators.metrics import brier
 from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores, isotonic_calibrated_oof,
                                        oof_predictions, random_configs, stack_frame, stacked_oof, train_score)
-from tabforge.operators.profile import correlations
+from tabforge.operators.profile import correlations, vif
 from tabforge.plans.fixtures import base
 from tabforge.plans.recipes import MODEL_FEATURES, model_frame
 from tabforge.plans.registry import query
@@ -157,15 +157,17 @@ BLOCKS = {"family": ["family_size", "is_alone"], "category": ["cat_O", "cat_P"],
 def q_m12(spark, sf):
     t = _train(spark, sf)
     out = None
-    cur = list(BASELINE)
     for step, (name, cols) in enumerate([("baseline", [])] + list(BLOCKS.items())):
-        cur = cur + cols
+        cur = BASELINE + cols  # the baseline with one block at a time
         r = evaluate([LOGREG], t, cur, with_train=False)
-        mc = correlations(t, cur).agg(F.max(F.abs("corr")).alias("max_abs_corr")) if len(cur) > 1 else None
+        worst = vif(t, cur).agg(F.max("vif").alias("max_vif"))
+        mc = correlations(t, cur).agg(F.max(F.abs("corr")).alias("max_abs_corr"))
+        imp = fit(FOREST, t, cur).importances(spark).where(F.col("feature").isin(cols or cur))
+        imp = imp.agg(F.sum("importance").alias("block_importance"))
         r = r.withColumn("step", F.lit(step)).withColumn("block", F.lit(name)).withColumn("n_features", F.lit(len(cur)))
-        r = r.crossJoin(mc) if mc is not None else r.withColumn("max_abs_corr", F.lit(None).cast("double"))
+        r = r.crossJoin(mc).crossJoin(worst).crossJoin(imp)
         out = r if out is None else out.unionByName(r)
-    return _round(out, ["cv_score", "cv_std", "oof_score", "max_abs_corr"])
+    return _round(out, ["cv_score", "cv_std", "oof_score", "max_abs_corr", "max_vif", "block_importance"])
 
 
 @query("q_m13_single_feature_lift")
@@ -176,9 +178,15 @@ def q_m13(spark, sf):
     for c in [x for x in MODEL_FEATURES if x not in BASELINE]:
         r = evaluate([LOGREG], t, BASELINE + [c], with_train=False).select(F.lit(c).alias("feature"), "cv_score")
         out = r if out is None else out.unionByName(r)
+    top = [r["feature"] for r in out.orderBy(F.col("cv_score").desc(), "feature").limit(3).collect()]
+    # the best features together: top 1, 2, 3 and all
+    for name, cols in [("top1", top[:1]), ("top2", top[:2]), ("top3", top[:3]), ("all", [x for x in MODEL_FEATURES if x not in BASELINE])]:
+        r = evaluate([LOGREG], t, BASELINE + cols, with_train=False).select(F.lit(name).alias("feature"), "cv_score")
+        out = out.unionByName(r)
     lift = out.crossJoin(base_r).withColumn("lift", F.col("cv_score") - F.col("base_cv"))
     from pyspark.sql import Window
-    lift = lift.withColumn("rank", F.row_number().over(Window.orderBy(F.col("lift").desc(), "feature")))
+    lift = lift.withColumn("rank", F.row_number().over(Window.partitionBy(F.col("feature").isin("top1", "top2", "top3", "all"))
+                                                      .orderBy(F.col("lift").desc(), "feature")))
     return _round(lift, ["cv_score", "base_cv", "lift"])
 
 
@@ -282,16 +290,23 @@ def q_p12(spark, sf):
 @query("q_j17_imputation_strategy_comparison")
 def q_j17(spark, sf):
     from tabforge.operators.impute import GroupImputer
+    from tabforge.operators.knn import knn_impute
+    from tabforge.session import cut_lineage
     t = _train(spark, sf)
-    b = base(spark, sf).where(F.col("origin") == "train").select("id", F.col("amount_a").alias("raw_a"), "klass", "category")
-    x = t.join(b, "id")
+    b = base(spark, sf).where(F.col("origin") == "train").select("id", F.col("amount_a").alias("raw_a"), F.col("amount_b").alias("raw_b"),
+                                                                     "klass", "category", "n_sib", "n_par")
+    x = t.join(b, "id").withColumn("klass_num", F.substring("klass", 1, 1).cast("int"))
+    knn = knn_impute(x, x, "id", "raw_a", ["klass_num", "n_sib", "n_par", "amount_b"], k=5, out="a_imp")
+    chained = ChainedLinearImputer(["raw_a", "raw_b"], ["klass_num", "n_sib", "n_par"]).fit(x).transform(x)
     recipes = {"global_median": GroupImputer("raw_a", [], out="a_imp"),
                "group_median": GroupImputer("raw_a", [["klass", "category"]], out="a_imp"),
                "group_mean": GroupImputer("raw_a", [["klass"]], stat="mean", out="a_imp")}
     out = None
     feats = [c for c in MODEL_FEATURES if c != "amount_a"] + ["a_imp"]
-    for name, imp in recipes.items():
-        xi = imp.fit(x).transform(x)
+    filled = {k: imp.fit(x).transform(x) for k, imp in recipes.items()}
+    filled |= {"knn": knn, "iterative": chained.withColumn("a_imp", F.col("raw_a"))}
+    for name, xi in filled.items():
+        xi = cut_lineage(xi)
         r = evaluate([LOGREG, FOREST], xi, feats, with_train=False).withColumn("recipe", F.lit(name))
         out = r if out is None else out.unionByName(r)
     return _round(out, ["cv_score", "cv_std", "oof_score"])

@@ -44,3 +44,19 @@ def test_chained_imputation_runs_all_rounds(spark, monkeypatch):
     monkeypatch.setattr(ChainedLinearImputer, "fit", kept)
     Q.q_j19(spark, SF_SMALL)
     assert [len(m.steps) for m in steps] == [20]  # ten rounds of two columns
+
+
+def test_blocks_lifts_and_strategies_are_whole(spark, monkeypatch):
+    from tabforge.operators.models import ModelSpec
+    from tabforge.plans import q_models as Q
+    monkeypatch.setattr(Q, "LOGREG", ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 5}))
+    monkeypatch.setattr(Q, "FOREST", ModelSpec("forest", "forest", {"n_trees": 3, "max_depth": 3}))
+    steps = {r["block"]: r for r in Q.q_m12(spark, SF_SMALL).collect()}
+    assert {b: r["n_features"] for b, r in steps.items()} == {"baseline": 2} | {b: 2 + len(c) for b, c in Q.BLOCKS.items()}
+    assert all(r["max_vif"] >= 1 and 0 <= r["block_importance"] <= 1 for r in steps.values())
+    lifts = {r["feature"]: r for r in Q.q_m13(spark, SF_SMALL).collect()}
+    assert {"top1", "top2", "top3", "all"} <= set(lifts) and len(lifts) == len(Q.MODEL_FEATURES) - len(Q.BASELINE) + 4
+    best = min((r for f, r in lifts.items() if f in Q.MODEL_FEATURES), key=lambda r: r["rank"])
+    assert lifts["top1"]["cv_score"] == best["cv_score"]
+    recipes = {r["recipe"] for r in Q.q_j17(spark, SF_SMALL).collect()}
+    assert recipes == {"global_median", "group_median", "group_mean", "knn", "iterative"}
