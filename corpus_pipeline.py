@@ -39,11 +39,13 @@ def cut_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document appears as often as the mix takes its words, to the nearest whole pass (none, once or twice)."""
+    """Each document appears as often as the mix takes its words, to the nearest whole pass (none, once or twice), in the
+    order of the mix: each pass where the schedule's slots first read the document."""
     taken = mixing.mix_sources(docs, keep=["text", "lang", "n_chars"])
     passes = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0))
     return (taken.withColumn("_passes", passes).where("_passes > 0")
-            .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_passes").cast("int")))).select(COLUMNS))
+            .select(*COLUMNS, "_passes", F.posexplode("slots").alias("_turn", "_place")).where("_turn < _passes")
+            .orderBy("_place.slot", "_place.at", "doc_id").select(COLUMNS))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

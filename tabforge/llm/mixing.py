@@ -9,6 +9,10 @@ pass repeats the stream). Slots beyond a source's need are left out, the few
 that the sequence leaves short follow at the end, and the last one is cut, so
 that a source gives exactly ``floor(target)`` words.
 
+``mix_pieces`` is the mix itself, slot by slot; ``mix_sources`` sums it by document and says at which slot each pass
+of a document begins. The need of a source follows from its target alone; which slot reads a block, and so the
+order of the mix, follows from the schedule.
+
 Targets: sources by code point, null last, weigh ``weights`` in turn and share
 ``share`` times all sizes; a target stops at ``max_passes`` times its source's
 size, and what is over is shared anew by weight until none is above.
@@ -81,7 +85,7 @@ def _ranked(df: DataFrame, group: list[str], coarse: str, order: list[Column], a
 
 
 def _schedule(spark, plan: list[tuple], total_slots: int) -> DataFrame:
-    """(source index, rank) for every slot that the plan needs.
+    """(source index, rank, slot) for every slot that the plan needs; slots ascend with the mix, with gaps.
 
     plan: (index, upper end of its interval, needed slots) in index order.
     """
@@ -96,27 +100,21 @@ def _schedule(spark, plan: list[tuple], total_slots: int) -> DataFrame:
     short = (spark.createDataFrame([(i, n) for i, _, n in plan], "src int, need long").join(had, "src", "left")
              .select("src", F.explode(F.when(F.coalesce("had", F.lit(0)) < F.col("need"),
                                              F.sequence(F.coalesce("had", F.lit(0)), F.col("need") - 1))).alias("rank")))
-    return slots.where("rank < need").select("src", "rank").unionByName(short.select("src", "rank"))
-
+    late = F.lit(total_slots) + F.col("rank") * len(plan) + F.col("src")  # after all others, sources in turn
+    return (slots.where("rank < need").select("src", "rank", F.col("id").alias("slot"))
+            .unionByName(short.select("src", "rank", late.alias("slot"))))
 
-def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights: tuple[int, ...] = (5, 2, 1), share: str = "1.5", max_passes: int = 2,
-                block: int = 16384, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, taken (words the mix takes).
 
-    Columns named in ``keep`` come back by a join on a hash of id, source and text; rows that agree in all three
-    get the mean of what they take.
-    """
-    if keep is not None:
-        return _kept(df, id_col, text_col, source_col, keep, weights, share, max_passes, block, seed)
+def _pieces(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: str,
+            max_passes: int, block: int, seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """Documents that give nothing, and the stretches of the others by slot (one without slot where none reads it)."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     # texts are read once; what follows works on a few bytes a document
     docs = cut_lineage(docs)
     sizes = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.sum("size").alias("n")).collect()}  # one row per source
     if not sizes:
-        return docs.select(id_col, "source", "size", F.lit(0).cast("long").alias("source_size"),
-                           F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
+        return docs.withColumn("source_size", F.lit(0).cast("long")).withColumn("target", F.lit(0.0)), None
     goal = targets(sizes, list(weights), Fraction(share), max_passes)
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     rows, plan, acc, whole = [], [], Fraction(0), sum(goal.values())
@@ -129,33 +127,70 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     table = spark.createDataFrame(rows, "src int, _source string, source_size long, target double, words long, blocks long")
     docs = docs.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     if not whole:
-        return docs.select(id_col, "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+        return docs, None
 
     place = F.xxhash64(F.lit(seed), F.col(id_col), F.col("size"))
     bucket_words = max(1 << 16, 8 * math.isqrt(sum(sizes.values())))  # documents in a bucket and buckets grow alike
     buckets = F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / bucket_words)
     docs = docs.withColumn("_h", place).withColumn("_b", F.pmod("_h", buckets))
     docs = _ranked(docs, ["src"], "_b", [F.col("_h"), F.col(id_col).asc_nulls_last(), F.col("size")], F.col("size"), "start")
-    idle = docs.where("size = 0").select(id_col, "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     # a document's stretch of the stream, cut where blocks begin
     piece = (docs.where("size > 0")
              .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
              .withColumn("lo", F.greatest("start", F.col("block") * block))
-             .withColumn("hi", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)))
+             .withColumn("hi", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block))).drop("words", "blocks")
     total = sum(n for _, _, n in plan)
     slot = (_schedule(spark, plan, total).join(F.broadcast(table.select("src", "source_size", "words", "blocks")), "src")
-            .select("src", F.pmod("rank", "blocks").alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("turn"),
+            .select("src", "slot", F.pmod("rank", "blocks").alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("turn"),
                     "source_size", "words"))
     # the words of the stream that this turn may still read: all but in the last
     until = F.greatest(F.lit(0), F.col("words") - F.col("turn") * F.col("source_size"))
-    slot = slot.groupBy("src", "block").agg(F.collect_list(until).alias("untils"))  # one entry a pass
-    got = F.aggregate("untils", F.lit(0).cast("long"),
-                      lambda a, u: a + F.greatest(F.lit(0).cast("long"), F.least("hi", u) - F.col("lo")))
-    taken = (piece.join(slot, ["src", "block"], "left")
-             .groupBy("src", "start").agg(F.first(id_col).alias(id_col), F.first("source").alias("source"), F.first("size").alias("size"),
-                                          F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-                                          F.sum(F.coalesce(got, F.lit(0))).cast("long").alias("taken")))
-    return taken.select(id_col, "source", "size", "source_size", "target", "taken").unionByName(idle)
+    slot = slot.groupBy("src", "block").agg(F.collect_list(F.struct("slot", "turn", until.alias("until"))).alias("_reads"))  # one entry a pass
+    reads = F.filter("_reads", lambda r: F.least(F.col("hi"), r["until"]) > F.col("lo"))
+    piece = (piece.join(slot, ["src", "block"], "left").withColumn("_read", F.explode_outer(reads))
+             .withColumn("slot", F.col("_read.slot")).withColumn("turn", F.col("_read.turn"))
+             .withColumn("words", F.coalesce(F.least("hi", "_read.until") - F.col("lo"), F.lit(0)).cast("long")))
+    return docs.where("size = 0"), piece.drop("_reads").withColumn("words", F.when(F.col("slot").isNull(), 0).otherwise(F.col("words")))
+
+
+def mix_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               weights: tuple[int, ...] = (5, 2, 1), share: str = "1.5", max_passes: int = 2,
+               block: int = 16384, seed: int = 17) -> DataFrame:
+    """The mix: one row per stretch of a document that a slot reads.
+
+    slot (its place in the mix), source, block, turn (pass over the source, from 0), at (first word in the source's
+    stream), id, begin (first word in the document), words. In the order of (slot, at) the rows are the mix.
+    """
+    idle, piece = _pieces(df, id_col, text_col, source_col, weights, share, max_passes, block, seed)
+    if piece is None:
+        zero = F.lit(0).cast("long")
+        return idle.limit(0).select(zero.alias("slot"), "source", zero.alias("block"), zero.alias("turn"), zero.alias("at"),
+                                    id_col, zero.alias("begin"), zero.alias("words"))
+    return piece.where("slot IS NOT NULL").select("slot", "source", "block", "turn", F.col("lo").alias("at"), id_col,
+                                                  (F.col("lo") - F.col("start")).alias("begin"), "words")
+
+
+def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                weights: tuple[int, ...] = (5, 2, 1), share: str = "1.5", max_passes: int = 2,
+                block: int = 16384, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, taken (words the mix takes) and slots, which has
+    for each pass the place where the document begins in it, (slot, at) as in ``mix_pieces``, or null.
+
+    Columns named in ``keep`` come back by a join on a hash of id, source and text; rows that agree in all three
+    get the mean of what they take and the first of their places.
+    """
+    if keep is not None:
+        return _kept(df, id_col, text_col, source_col, keep, weights, share, max_passes, block, seed)
+    idle, piece = _pieces(df, id_col, text_col, source_col, weights, share, max_passes, block, seed)
+    nowhere = F.array(*[F.lit(None).cast("struct<slot:bigint,at:bigint>")] * max_passes)
+    idle = idle.select(id_col, "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), nowhere.alias("slots"))
+    if piece is None:
+        return idle
+    taken = (piece.groupBy("src", "start").agg(
+        F.first(id_col).alias(id_col), F.first("source").alias("source"), F.first("size").alias("size"),
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum("words").alias("taken"),
+        F.array(*[F.min(F.when(F.col("turn") == t, F.struct("slot", F.col("lo").alias("at")))) for t in range(max_passes)]).alias("slots")))
+    return taken.select(id_col, "source", "size", "source_size", "target", "taken", "slots").unionByName(idle)
 
 
 def _kept(df: DataFrame, id_col: str, text_col: str, source_col: str, keep: list[str], *settings) -> DataFrame:
@@ -164,6 +199,7 @@ def _kept(df: DataFrame, id_col: str, text_col: str, source_col: str, keep: list
     keyed = df.select(key.alias("_key"), F.col(source_col).alias("_src"), F.col(text_col).alias("_txt"))
     mixed = mix_sources(keyed, "_key", "_txt", "_src", weights, share, max_passes, block, seed)
     mixed = (mixed.groupBy("_key").agg(F.first("source").alias("source"), F.first("size").alias("size"), F.first("source_size").alias("source_size"),
-                                       F.first("target").alias("target"), F.floor(F.avg("taken") + 0.5).cast("long").alias("taken")))
+                                       F.first("target").alias("target"), F.floor(F.avg("taken") + 0.5).cast("long").alias("taken"),
+                                       F.array(*[F.min(F.col("slots")[t]) for t in range(max_passes)]).alias("slots")))
     rows = df.select(F.col(id_col).alias(id_col), key.alias("_key"), *map(F.col, keep))
     return rows.join(mixed, "_key").drop("_key")
