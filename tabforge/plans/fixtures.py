@@ -118,10 +118,10 @@ SCORES_SQL = " UNION ALL ".join(
 N_SEEDS = 3
 
 
-def seeded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def seeded_scores(spark: SparkSession, sf_dir: str, n_seeds: int = N_SEEDS) -> DataFrame:
     """``scores`` replicated over seeds with a deterministic +-2/1000 jitter,
     playing the role of per-seed out-of-fold predictions."""
-    s = scores(spark, sf_dir).withColumn("seed", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(N_SEEDS - 1).cast("long"))))
+    s = scores(spark, sf_dir).withColumn("seed", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_seeds - 1).cast("long"))))
     jit = ((F.col("id") * (F.col("seed") + 3)) % 5 - 2).cast("double") / F.lit(1000.0)
     return s.withColumn("proba", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("proba") + jit)))
 

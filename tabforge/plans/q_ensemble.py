@@ -29,6 +29,21 @@ def q_p1(spark, sf):
     return label_mean_vote(_s(spark, sf).where(F.col("model").isin("m1", "m2")))
 
 
+@query("q_p1_label_mean_vote_all_models", """
+WITH m4 AS (SELECT id, 'm4' AS model, least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE),
+             proba + CAST((id * 59 + 11) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) - CAST(0.5 AS DOUBLE))) AS proba
+            FROM scores WHERE model = 'm3'),
+s AS (SELECT id, CASE WHEN proba >= 0.5 THEN 1 ELSE 0 END AS pred FROM (SELECT id, proba FROM scores UNION ALL SELECT id, proba FROM m4))
+SELECT id, CAST(round_even(avg(CAST(pred AS DOUBLE)), 0) AS INTEGER) AS vote FROM s GROUP BY id""")
+def q_p1_all(spark, sf):
+    """All three models and a fourth, the third with noise, so that votes tie."""
+    s = scores(spark, sf)
+    noise = ((F.col("id") * 59 + 11) % 1000).cast("double") / F.lit(1000.0)
+    m4 = s.where(F.col("model") == "m3").withColumn("model", F.lit("m4")).withColumn(
+        "proba", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("proba") + noise - F.lit(0.5))))
+    return label_mean_vote(with_pred(s.unionByName(m4)))
+
+
 @query("q_p2_hard_vote", S + """
 SELECT id, CAST(avg(CAST(pred AS DOUBLE)) > 0.5 AS INTEGER) AS vote FROM s GROUP BY id""")
 def q_p2(spark, sf):
