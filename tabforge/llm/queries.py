@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import language, licenses, line_rules, mixing, near_dups, pieces, substrings, topk, toxicity, urls
+from tabforge.llm import (filter_audit, html_text, language, licenses, line_rules, mixing, near_dups, pieces, substrings, topk,
+                          toxicity, urls, whitening)
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -84,8 +85,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_blocks")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_license_scans, op3_language_id, op4_near_dups, op5_mix_sources,
-                                   op6_substring_dedup, op7_topk_search, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
+                                   op6_substring_dedup, op7_topk_search, op8_sentencepiece, op9_toxicity, op10_quality_rules,
+                                   op11_html_extraction, op12_filter_audit, op13_embedding_whitening)}
 
 _URL_SQL = r"""
 WITH u AS (
@@ -129,4 +143,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE = {"op1_url_filters": _URL_SQL, "op7_topk_search": _TOPK_SQL}
+ORACLE = {"op1_url_filters": _URL_SQL, "op7_topk_search": _TOPK_SQL, "op12_filter_audit": filter_audit.AUDIT_SQL}
