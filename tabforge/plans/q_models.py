@@ -6,17 +6,20 @@ single-regressor R^2 is plain SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabforge.operators.folds import group_folds
 from tabforge.operators.impute import ChainedLinearImputer
 from tabforge.operators.metrics import brier
 from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores, isotonic_calibrated_oof,
-                                       oof_predictions, random_configs, stack_frame, stacked_oof, train_score)
+                                       oof_predictions, stack_frame, train_score)
 from tabforge.operators.profile import correlations, vif
 from tabforge.plans.fixtures import base
 from tabforge.plans.recipes import MODEL_FEATURES, model_frame
 from tabforge.plans.registry import query
+from tabforge.training.fits import cv_table, stacked_table, strategy_table
+from tabforge.training.search import search
 
 LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 1000})
 FOREST = ModelSpec("forest", "forest", {"n_trees": 100, "max_depth": 5, "min_samples_split": 4})
@@ -51,7 +54,7 @@ def q_l2(spark, sf):
 
 @query("q_l3_random_forest")
 def q_l3(spark, sf):
-    return _cv(spark, sf, FOREST)
+    return _table(spark, sf, [FOREST], {"all": MODEL_FEATURES}).drop("feature_set", "n_features")
 
 
 @query("q_l4_gradient_boosting")
@@ -59,23 +62,30 @@ def q_l4(spark, sf):
     return _cv(spark, sf, BOOST)
 
 
+# The leaf-wise configurations (three of strong regularisation, and a larger tree).
+LEAFWISE = [ModelSpec(name, "leafwise", {"n_rounds": 100, "max_depth": depth, "num_leaves": leaves, "min_leaf": least, "l1": reg, "l2": reg,
+                                         "min_gain": gain, "learning_rate": 0.05, "colsample": col})
+            for name, depth, leaves, least, reg, gain, col in [
+                ("leafwise_strong", 2, 4, 40, 2.0, 0.02, 0.7), ("leafwise_stronger", 2, 4, 50, 3.0, 0.03, 0.6),
+                ("leafwise_few_leaves", 2, 3, 35, 1.5, 0.015, 0.75), ("leafwise", 4, 10, 20, 0.5, 0.01, 0.8)]]
+
+
 @query("q_l5_leafwise_boosting_config")
 def q_l5(spark, sf):
-    return _cv(spark, sf, ModelSpec("leafwise", "gbt", {"n_rounds": 100, "max_depth": 4, "learning_rate": 0.05,
-                                                         "min_gain": 0.01, "max_features": "sqrt", "min_leaf": 5}))
+    return _table(spark, sf, LEAFWISE, {"all": MODEL_FEATURES}).drop("feature_set", "n_features")
 
 
-# Four regularisation levels of the boosted-tree family (depth, learning rate, subsample, rounds).
-REG_LEVELS = {"light": (4, 0.1, 1.0, 100), "medium": (3, 0.1, 0.8, 100), "strong": (2, 0.05, 0.7, 100),
-              "very_strong": (1, 0.05, 0.6, 50)}
+# The four regularisation levels of second-order boosting.
+REGULARISED = [ModelSpec(f"xgb_{name}", "xgb", {"n_rounds": n, "max_depth": depth, "learning_rate": rate, "subsample": part, "colsample": part,
+                                                "min_child_weight": weight, "l1": reg, "l2": reg, "min_gain": gain})
+               for name, n, depth, rate, part, weight, reg, gain in [
+                   ("light", 100, 3, 0.05, 0.8, 10, 0.5, 0.1), ("medium", 100, 2, 0.05, 0.8, 20, 1.0, 0.2),
+                   ("strong", 100, 2, 0.03, 0.7, 30, 1.5, 0.3), ("very_strong", 50, 2, 0.03, 0.7, 40, 2.0, 0.5)]]
 
 
 @query("q_l6_regularised_boosting_configs")
 def q_l6(spark, sf):
-    specs = [ModelSpec(f"gbt_{k}", "gbt", {"n_rounds": n, "max_depth": d, "learning_rate": lr, "subsample": ss})
-             for k, (d, lr, ss, n) in REG_LEVELS.items()]
-    return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES),
-                  ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
+    return _table(spark, sf, REGULARISED, {"all": MODEL_FEATURES}).drop("feature_set", "n_features")
 
 
 @query("q_l7_rbf_kernel_fourier_features")
@@ -115,18 +125,14 @@ FEATURE_SETS = {"fs3": ["amount_b", "family_size", "title_code"],
                 "all": MODEL_FEATURES}
 
 
-def _sweep(spark, sf, specs, sets):
-    t = _train(spark, sf)
-    out = None
-    for name, feats in sets.items():
-        r = evaluate(specs, t, feats).withColumn("feature_set", F.lit(name)).withColumn("n_features", F.lit(len(feats)))
-        out = r if out is None else out.unionByName(r)
-    return _round(out, ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
+def _table(spark, sf, specs, sets):
+    """All configurations on all feature sets, fitted together."""
+    return _round(cv_table(_train(spark, sf), specs, sets), ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
 
 @query("q_l12_baseline_model_family")
 def q_l12(spark, sf):
-    return _sweep(spark, sf, [LOGREG, FOREST, BOOST], FEATURE_SETS)
+    return _table(spark, sf, [LOGREG, FOREST, BOOST], FEATURE_SETS)
 
 
 @query("q_m6_cross_validated_score")
@@ -144,7 +150,7 @@ def q_m7(spark, sf):
 
 @query("q_m11_feature_set_model_sweep")
 def q_m11(spark, sf):
-    return _sweep(spark, sf, [LOGREG, BOOST], FEATURE_SETS)
+    return _table(spark, sf, [LOGREG, BOOST], FEATURE_SETS)
 
 
 # Baseline and feature blocks of the incremental evaluation.
@@ -184,17 +190,29 @@ def q_m13(spark, sf):
         r = evaluate([LOGREG], t, BASELINE + cols, with_train=False).select(F.lit(name).alias("feature"), "cv_score")
         out = out.unionByName(r)
     lift = out.crossJoin(base_r).withColumn("lift", F.col("cv_score") - F.col("base_cv"))
-    from pyspark.sql import Window
     lift = lift.withColumn("rank", F.row_number().over(Window.partitionBy(F.col("feature").isin("top1", "top2", "top3", "all"))
                                                       .orderBy(F.col("lift").desc(), "feature")))
     return _round(lift, ["cv_score", "base_cv", "lift"])
 
 
+# The regularisation grid over four model families.
+GRID = [
+    ModelSpec("forest_d3", "forest", {"n_trees": 100, "max_depth": 3, "min_samples_split": 30, "min_samples_leaf": 15}),
+    ModelSpec("forest_d2", "forest", {"n_trees": 100, "max_depth": 2, "min_samples_split": 40, "min_samples_leaf": 20}),
+    ModelSpec("forest_50", "forest", {"n_trees": 50, "max_depth": 3, "min_samples_split": 25, "min_samples_leaf": 12}),
+    ModelSpec("gbt_strong", "gbt", {"n_rounds": 100, "max_depth": 2, "learning_rate": 0.03, "min_samples_split": 30, "min_leaf": 15, "subsample": 0.7,
+                                    "max_features": "sqrt"}),
+    ModelSpec("gbt_slow", "gbt", {"n_rounds": 150, "max_depth": 2, "learning_rate": 0.02, "min_samples_split": 35, "min_leaf": 20, "subsample": 0.6,
+                                  "max_features": 0.7}),
+    ModelSpec("gbt_d1", "gbt", {"n_rounds": 100, "max_depth": 1, "learning_rate": 0.05, "min_samples_split": 20, "min_leaf": 10, "subsample": 0.8}),
+    *LEAFWISE[:3],
+    ModelSpec("logreg_C0.1", "logreg", {"C": 0.1, "max_iter": 1000}), ModelSpec("logreg_C0.05", "logreg", {"C": 0.05, "max_iter": 1000}),
+    ModelSpec("enet_C0.1", "logreg", {"C": 0.1, "l1_ratio": 0.5, "max_iter": 2000})]
+
+
 @query("q_m14_regularisation_grid")
 def q_m14(spark, sf):
-    specs = [ModelSpec(f"gbt_d{d}_lr{lr}", "gbt", {"n_rounds": 100, "max_depth": d, "learning_rate": lr})
-             for d in (1, 2, 3) for lr in (0.05, 0.1)]
-    return _round(evaluate(specs, _train(spark, sf), MODEL_FEATURES), ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
+    return _table(spark, sf, GRID, {"all": MODEL_FEATURES}).drop("feature_set", "n_features")
 
 
 # C path of the linear model.
@@ -208,7 +226,7 @@ def q_m15(spark, sf):
     return _round(r, ["cv_score", "cv_std", "oof_score", "train_score", "gap"])
 
 
-# Search space of the seeded random search.
+# Search space of the forest search.
 FOREST_SPACE = {"n_trees": ("int", 50, 200), "max_depth": ("int", 3, 10), "min_samples_split": ("int", 2, 20),
                 "min_samples_leaf": ("int", 1, 10), "max_features": ("cat", ["sqrt", "log2", "all"]),
                 "bootstrap": ("cat", [True, False])}
@@ -217,22 +235,28 @@ N_TRIALS = 50
 
 @query("q_m16_random_search")
 def q_m16(spark, sf):
-    specs = random_configs("forest", "forest", FOREST_SPACE, N_TRIALS)
-    r = evaluate(specs, _train(spark, sf), MODEL_FEATURES, with_train=False)
-    params = spark.createDataFrame([(s.name, str(sorted(s.params.items()))) for s in specs], "model string, params string")
-    r = r.join(params, "model")
-    best = r.agg(F.max(F.struct(F.col("oof_score"), F.col("model"))).alias("b")).select(F.col("b.model").alias("best_model"))
-    return _round(r.crossJoin(best).withColumn("is_best", (F.col("model") == F.col("best_model")).cast("int"))
-                  .drop("best_model"), ["cv_score", "cv_std", "oof_score"])
+    r = search(_train(spark, sf), "forest", FOREST_SPACE, MODEL_FEATURES, n_trials=N_TRIALS)
+    return _round(r, ["cv_score", "cv_std", "oof_score"])
+
+
+# Search space of the linear model.
+LINEAR_SPACE = {"C": ("log", 0.001, 100.0), "l1_ratio": ("cat", [0.0, 1.0])}
+
+
+@query("q_m16_linear_search")
+def q_m16_linear(spark, sf):
+    r = search(_train(spark, sf), "logreg", LINEAR_SPACE, MODEL_FEATURES, n_trials=N_TRIALS)
+    return _round(r, ["cv_score", "cv_std", "oof_score"])
 
 
 @query("q_m22_cv_strategy_comparison")
 def q_m22(spark, sf):
-    t = _train(spark, sf)
-    strat = cv_summary(oof_predictions(t, FOREST, MODEL_FEATURES)).withColumn("strategy", F.lit("stratified"))
-    g = group_folds(t.drop("fold"), "ticket", 5, label="label")
-    grp = cv_summary(oof_predictions(g, FOREST, MODEL_FEATURES)).withColumn("strategy", F.lit("group"))
-    return _round(strat.unionByName(grp), ["cv_score", "cv_std", "oof_score"])
+    t = group_folds(_train(spark, sf).withColumnRenamed("fold", "strat_fold"), "ticket", 5, label="label").withColumnRenamed("fold", "group_fold")
+    r = strategy_table(t, [LOGREG, FOREST, BOOST], MODEL_FEATURES, {"stratified": "strat_fold", "group": "group_fold"})
+    w = Window.partitionBy("model")
+    diff = F.max(F.when(F.col("strategy") == "group", F.col("cv_score"))).over(w) - \
+        F.max(F.when(F.col("strategy") == "stratified", F.col("cv_score"))).over(w)
+    return _round(r.withColumn("strategy_diff", diff), ["cv_score", "cv_std", "oof_score", "train_score", "gap", "gap_pct", "strategy_diff"])
 
 
 # Configurations of the final fit; the best by out-of-fold accuracy is fitted on all train rows.
@@ -272,7 +296,7 @@ def q_p10(spark, sf):
 def q_p11(spark, sf):
     metas = [(ModelSpec(f"stack_C{c}_{'pass' if extra else 'plain'}", "logreg", {"C": c, "max_iter": 1000}), extra)
              for c in (0.1, 0.5, 1.0) for extra in ([], MODEL_FEATURES)]
-    oof = stacked_oof(_train(spark, sf), [LOGREG, FOREST, BOOST], metas, MODEL_FEATURES)
+    oof = stacked_table(_train(spark, sf), [LOGREG, FOREST, BOOST], metas, MODEL_FEATURES)
     return _round(cv_summary(oof), ["cv_score", "cv_std", "oof_score"])
 
 

@@ -11,7 +11,9 @@ def test_registered_sizes(spark):
     assert model_frame(spark, SF_SMALL).select("fold").distinct().count() == 5
     assert Q.FOREST.params["n_trees"] == 100 and Q.BOOST.params["n_rounds"] == 100
     assert Q.N_TRIALS == 50 and Q.FOREST_SPACE["n_trees"] == ("int", 50, 200)
-    assert [n for *_, n in Q.REG_LEVELS.values()] == [100, 100, 100, 50]
+    assert [s.params["n_rounds"] for s in Q.REGULARISED] == [100, 100, 100, 50] and {s.kind for s in Q.REGULARISED} == {"xgb"}
+    assert {s.params["n_rounds"] for s in Q.LEAFWISE} == {100} and {s.kind for s in Q.LEAFWISE} == {"leafwise"}
+    assert {s.kind for s in Q.GRID} == {"forest", "gbt", "leafwise", "logreg"} and len(Q.GRID) == 12
     assert len(Q.FINAL_CONFIGS) > 1
 
 

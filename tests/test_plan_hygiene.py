@@ -1,6 +1,7 @@
 """The tabular library stays on the JVM path: no Python UDFs, no RDD code, no local
 checkpoints (the corpus subpackage, free in its style, may use Arrow functions
-inside tasks, but no RDD code, driver-side pandas or local checkpoints); scans read only the columns a query needs."""
+inside tasks, but no RDD code, driver-side pandas or local checkpoints; joint training counts histograms and sums in Arrow
+batches, one row a block); scans read only the columns a query needs."""
 
 import os
 import re
