@@ -184,16 +184,14 @@ def _own_shingles(docs: DataFrame, keys: DataFrame, size: int, log2: int) -> Dat
     """(key, own): how many shingles of each text no other of these texts holds (or fewer)."""
     sets, bitmap = _sets(docs, keys, size, log2)
     alone = sets.select("key", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("key").alias("key")).where("k = 1")
-    own = cut_lineage(alone.groupBy("key").agg(F.count("*").alias("own")))
+    own = _written(alone.groupBy("key").agg(F.count("*").alias("own")))
     bitmap.unpersist()
-    del sets, alone
-    _release(docs.sparkSession)
     return own
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, log2: int) -> DataFrame:
     """The pairs (a, b; keys ka, kb) whose multisets overlap by ``threshold`` or more."""
-    pairs = cut_lineage(pairs)
+    pairs = _written(pairs)
     sets, bitmap = _sets(docs, pairs.select(F.explode(F.array("ka", "kb")).alias("key")), size, log2)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +207,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float, lo
 
     joined = (pairs.join(sets.select(F.col("key").alias("ka"), F.col("set").alias("x")), "ka")
               .join(sets.select(F.col("key").alias("kb"), F.col("set").alias("y")), "kb").select("a", "b", "x", "y"))
-    found = cut_lineage(joined.mapInArrow(compare, "a long, b long").distinct())
+    found = _written(joined.mapInArrow(compare, "a long, b long").distinct())
     bitmap.unpersist()
-    del joined, sets
-    _release(docs.sparkSession)
     return found
 
 
@@ -222,18 +218,26 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A checkpoint; what the phase left on the driver (plans, task records, map outputs) goes before the next one begins."""
+    out = cut_lineage(df)
+    del df
+    _release(out.sparkSession)
+    return out
+
+
 def components(links: DataFrame, known: DataFrame | None = None, whole: bool = True) -> DataFrame:
     """(v, c): the smallest vertex of each linked vertex's component; ``known`` is an earlier answer for some links.
 
     Without ``whole`` one step is taken: vertices of one name are linked, but linked ones may still differ.
     """
-    both = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = _written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     names = both.select(F.col("a").alias("v")).distinct()
     if known is not None:
         names = names.join(known, "v", "left").select("v", F.coalesce("c", "v").alias("c"))
     else:
         names = names.select("v", F.col("v").alias("c"))
-    names = cut_lineage(names)
+    names = _written(names)
     while True:
         near = (both.join(names, both["b"] == names["v"]).groupBy(F.col("a").alias("n")).agg(F.min("c").alias("m")))
         low = names.join(near, names["v"] == near["n"], "left").select("v", F.col("c").alias("was"), F.least("c", F.coalesce("m", "c")).alias("c"))
@@ -242,9 +246,7 @@ def components(links: DataFrame, known: DataFrame | None = None, whole: bool = T
         low = low.join(roots, low["was"] == roots["r"]).select("v", "was", F.least("c", "rc").alias("c"))
         hop = low.select(F.col("v").alias("h"), F.col("c").alias("hc"))
         low = low.join(hop, low["c"] == hop["h"], "left").select("v", "was", F.coalesce("hc", "c").alias("c"))
-        new = cut_lineage(low)
-        del near, low, roots, hop
-        _release(links.sparkSession)
+        new = _written(low)
         if not whole or new.where("c <> was").isEmpty():
             return new.select("v", "c")
         names = new.select("v", "c")
@@ -276,27 +278,25 @@ def _likely(threshold: float):
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
                     rounds: int = 2, bitmap_log2: int = 23) -> DataFrame:
     """One row per document: id, class_id, class_size (rows), keep, text_key, linked (the text has a near copy)."""
-    spark = df.sparkSession
+    _release(df.sparkSession)
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     docs = docs.withColumn("_key", F.xxhash64("_id", "_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
     codes = [f"s{i}" for i in range(NIBBLES)] + [f"o{i}" for i in range(PARITIES)]
     names = ["_id", "_key", "n", "f", "g", "bands", *codes]
-    sketched = cut_lineage(docs.select("_id", "_key", "_text").mapInArrow(
+    sketched = _written(docs.select("_id", "_key", "_text").mapInArrow(
         _sketch(size, names), f"_id {id_type}, _key long, n long, f long, g long, bands array<long>, " + ", ".join(f"{c} long" for c in codes)))
     texts = (sketched.where("n > 0").groupBy("f", "g", "n")
              .agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_key")).alias("_first"), F.count("*").alias("copies"),
                   F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in codes])
              .select(F.monotonically_increasing_id().alias("v"), "f", "g", "n", F.col("_first._id").alias("rep"),
                      F.col("_first._key").alias("key"), "copies", "bands", *codes))
-    texts = cut_lineage(texts)  # from here the numbers v are fixed
+    texts = _written(texts)  # from here the numbers v are fixed
     band = texts.select("v", F.posexplode("bands").alias("i", "band"))
     crowded = band.groupBy(F.col("band").alias("_b")).agg(F.count("*").alias("k")).where("k > 1")
     multi = band.join(crowded, F.col("band") == F.col("_b")).select("v", "i", "band", "k")
     crowd = multi.groupBy(F.col("v").alias("_v")).agg(F.sum("k").alias("crowd"))
-    multi = cut_lineage(multi.join(crowd, F.col("v") == F.col("_v")).select("v", "i", "band", "crowd"))
-    del band, crowded, crowd
-    _release(spark)
+    multi = _written(multi.join(crowd, F.col("v") == F.col("_v")).select("v", "i", "band", "crowd"))
     codes_of = texts.select("v", "key", "n", *codes)
     pivot_codes = codes_of.select(F.col("v").alias("p"), F.col("key").alias("pkey"), F.col("n").alias("pn"), *[F.col(c).alias(f"p{c}") for c in codes])
 
@@ -322,9 +322,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .where("lo < hi").select("_b", F.col("p.v").alias("p"), F.col("p.c").alias("pc")))
         star = rows.join(pivot, F.col("band") == F.col("_b")).where("c <> pc").select("v", "p").distinct()
         settle(star.join(codes_of, "v").join(pivot_codes, "p").where(_likely(threshold)))
-    rows = cut_lineage(members())
+    rows = _written(members())
     apart = rows.groupBy(F.col("band").alias("_b")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("_b")
-    rows = cut_lineage(rows.join(apart, F.col("band") == F.col("_b")).select("v", "band", "c").join(codes_of, "v"))
+    rows = _written(rows.join(apart, F.col("band") == F.col("_b")).select("v", "band", "c").join(codes_of, "v"))
     own = _own_shingles(docs, rows.select("key"), size, bitmap_log2).withColumnRenamed("key", "_k")
     rows = rows.join(own, F.col("key") == F.col("_k"), "left").drop("_k").withColumn("u", F.col("n") - F.coalesce("own", F.lit(0)))
     rows = rows.where(F.col("u") >= F.lit(threshold) * F.col("n") - 1e-9)
