@@ -95,6 +95,7 @@ def _moments(df: DataFrame, cols: Sequence[str], centred: bool) -> np.ndarray:
     if centred:
         exprs = [safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"m{i}_{j}")
                  for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
+        exprs += [(F.min(c) < F.max(c)).alias(f"varies{i}") for i, c in enumerate(cols)]  # merged deviations of a constant need not be 0
     else:
         exprs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"m{i}_{j}")
                  for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
@@ -104,28 +105,67 @@ def _moments(df: DataFrame, cols: Sequence[str], centred: bool) -> np.ndarray:
         for j in range(k):
             if i < j or (i == j and not centred):
                 v = row[f"m{i}_{j}"]
+                if centred and not (row[f"varies{i}"] and row[f"varies{j}"]):
+                    v = None
                 m[i, j] = m[j, i] = np.nan if v is None else v
     return m
 
 
+#: From this share of explained variance on, a feature counts as a combination of the others.
+FULL_R2 = 0.9999
+
+
+def _inflation(r: np.ndarray, j: int) -> float:
+    """1 / (1 - R^2) of column ``j`` on the others of a correlation matrix; infinity from ``FULL_R2`` on."""
+    others = [i for i in range(len(r)) if i != j]
+    if not others:
+        return 1.0
+    explained = float(r[j, others] @ np.linalg.pinv(r[np.ix_(others, others)], rcond=1e-12, hermitian=True) @ r[others, j])
+    return float("inf") if explained >= FULL_R2 else 1.0 / (1.0 - max(explained, 0.0))
+
+
 def vif(df: DataFrame, cols: Sequence[str], centred: bool = True, cap: float | None = None) -> DataFrame:
     """Variance inflation factors.
 
-    Centred: diag(inv(R)) of the correlation matrix (= 1/(1-R_i^2));
-    uncentred: diag(X'X) * diag(inv(X'X)). Singular -> inf (or ``cap``).
+    Centred: 1/(1-R_j^2) from the correlation matrix, infinity where R_j^2 reaches 0.9999, for that feature alone; a
+    constant feature is infinite and takes no part in the others. Uncentred: diag(X'X) * diag(inv(X'X)), infinite where
+    singular. ``cap`` bounds the values.
     """
     m = _moments(df, cols, centred)
-    try:
-        inv = np.linalg.inv(m)
-        vals = np.diag(inv) if centred else np.diag(m) * np.diag(inv)
-    except np.linalg.LinAlgError:
-        vals = np.full(len(cols), np.inf)
-    out = []
-    for c, v in zip(cols, vals):
-        v = float(v)
-        if not np.isfinite(v) or v < 0:
-            v = float("inf")
-        if cap is not None:
-            v = min(v, cap)
-        out.append((c, v))
+    if centred:
+        flat = [bool(np.isnan(m[j, [i for i in range(len(m)) if i != j]]).all()) and len(m) > 1 for j in range(len(m))]
+        live = [j for j in range(len(m)) if not flat[j]]
+        sub = np.nan_to_num(m[np.ix_(live, live)])
+        vals = [float("inf") if flat[j] else _inflation(sub, live.index(j)) for j in range(len(m))]
+    else:
+        try:
+            vals = [float(v) if np.isfinite(v) and v >= 0 else float("inf") for v in np.diag(m) * np.diag(np.linalg.inv(m))]
+        except np.linalg.LinAlgError:
+            vals = [float("inf")] * len(cols)
+    out = [(c, v if cap is None else min(v, cap)) for c, v in zip(cols, vals, strict=True)]
     return df.sparkSession.createDataFrame(out, "feature string, vif double")
+
+
+def eliminate_collinear(df: DataFrame, cols: Sequence[str], limit: float = 10.0) -> DataFrame:
+    """The feature of the largest VIF goes until none exceeds ``limit``; of equal ones the later in ``cols``.
+
+    feature, step (when it went; 0: stays), vif (when it went, or at the end), action. One aggregation; each step drops
+    a row and column of the correlation matrix.
+    """
+    m = _moments(df, cols, True)
+    flat = [j for j in range(len(m)) if len(m) > 1 and np.isnan(m[j, [i for i in range(len(m)) if i != j]]).all()]
+    rows, step = [], 0
+    for j in flat:  # constants explain nothing
+        step += 1
+        rows.append((cols[j], step, float("inf"), "drop"))
+    left = [j for j in range(len(m)) if j not in flat]
+    r = np.nan_to_num(m)
+    while left:
+        values = [_inflation(r[np.ix_(left, left)], i) for i in range(len(left))]
+        worst = max(range(len(left)), key=lambda i: (values[i], i))
+        if values[worst] <= limit:
+            rows += [(cols[j], 0, v, "keep") for j, v in zip(left, values, strict=True)]
+            break
+        step += 1
+        rows.append((cols[left.pop(worst)], step, values[worst], "drop"))
+    return df.sparkSession.createDataFrame(rows, "feature string, step int, vif double, action string")

@@ -10,15 +10,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabforge.operators.folds import group_folds
-from tabforge.operators.impute import ChainedLinearImputer
+from tabforge.operators.chained import fit_chained
 from tabforge.operators.metrics import brier
 from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores, isotonic_calibrated_oof,
                                        oof_predictions, stack_frame, train_score)
-from tabforge.operators.profile import correlations, vif
+from tabforge.operators.profile import correlations, eliminate_collinear, vif
 from tabforge.plans.fixtures import base
 from tabforge.plans.recipes import MODEL_FEATURES, model_frame
 from tabforge.plans.registry import query
-from tabforge.training.fits import cv_table, stacked_table, strategy_table
+from tabforge.session import cut_lineage
+from tabforge.training.blocks import pack
+from tabforge.training.fits import Fit, cv_table, fit_all, stacked_table, strategy_table
 from tabforge.training.search import search
 
 LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 1000})
@@ -273,10 +275,10 @@ def q_m24(spark, sf):
     table = evaluate(FINAL_CONFIGS, t, MODEL_FEATURES, with_train=False)
     best = table.orderBy(F.col("oof_score").desc(), "model").first()["model"]
     m = fit(next(s for s in FINAL_CONFIGS if s.name == best), t, MODEL_FEATURES)
-    pred = m.predict(f.where(F.col("origin") == "serve")).select("id", F.col("pred").alias("label"))
+    serve = f.where(F.col("origin") == "serve")
+    pred = cut_lineage(m.predict(serve).select("id", F.col("pred").alias("label")))  # predicted once
     path = scratch_path(spark, "final_predictions")
-    n = pred.count()
-    write_predictions(pred, path, ["id", "label"], expected_rows=n, fmt="parquet")
+    write_predictions(pred, path, ["id", "label"], expected_rows=base(spark, sf).where("origin = 'serve'").count(), fmt="parquet")
     return spark.read.parquet(path)
 
 
@@ -315,13 +317,12 @@ def q_p12(spark, sf):
 def q_j17(spark, sf):
     from tabforge.operators.impute import GroupImputer
     from tabforge.operators.knn import knn_impute
-    from tabforge.session import cut_lineage
     t = _train(spark, sf)
     b = base(spark, sf).where(F.col("origin") == "train").select("id", F.col("amount_a").alias("raw_a"), F.col("amount_b").alias("raw_b"),
                                                                      "klass", "category", "n_sib", "n_par")
     x = t.join(b, "id").withColumn("klass_num", F.substring("klass", 1, 1).cast("int"))
     knn = knn_impute(x, x, "id", "raw_a", ["klass_num", "n_sib", "n_par", "amount_b"], k=5, out="a_imp")
-    chained = ChainedLinearImputer(["raw_a", "raw_b"], ["klass_num", "n_sib", "n_par"]).fit(x).transform(x)
+    chained = fit_chained(x, ["raw_a", "raw_b", "klass_num", "n_sib", "n_par"]).transform(x)
     recipes = {"global_median": GroupImputer("raw_a", [], out="a_imp"),
                "group_median": GroupImputer("raw_a", [["klass", "category"]], out="a_imp"),
                "group_mean": GroupImputer("raw_a", [["klass"]], stat="mean", out="a_imp")}
@@ -336,8 +337,37 @@ def q_j17(spark, sf):
     return _round(out, ["cv_score", "cv_std", "oof_score"])
 
 
+# all numeric columns take part; the class codes are numbers too
+CHAINED = ["amount_a", "amount_b", "n_sib", "n_par", "klass_num", "region_num"]
+
+
 @query("q_j19_iterative_imputation")
 def q_j19(spark, sf):
-    b = base(spark, sf).select("id", "amount_a", "amount_b", "n_sib", "n_par")
-    m = ChainedLinearImputer(["amount_a", "amount_b"], ["n_sib", "n_par"]).fit(b)
-    return _round(m.transform(b).select("id", "amount_a", "amount_b"), ["amount_a", "amount_b"])
+    b = base(spark, sf).select("id", "amount_a", "amount_b", "n_sib", "n_par", F.substring("klass", 1, 1).cast("int").alias("klass_num"),
+                               F.ascii("region").alias("region_num"))
+    filled = fit_chained(b, CHAINED).transform(b)
+    return _round(filled.select("id", "amount_a", "amount_b", "region_num"), ["amount_a", "amount_b", "region_num"])
+
+
+# The models that score feature subsets.
+SUBSET_MODELS = [ModelSpec("forest", "forest", {"n_trees": 100, "max_depth": 5, "min_samples_leaf": 5}), BOOST,
+                 ModelSpec("logreg", "logreg", {"C": 1.0, "max_iter": 1000})]
+
+
+@query("q_k14_scored_subsets")
+def q_k14_subsets(spark, sf):
+    """Subsets of the features: all, those of low VIF, the five most important, and without one of two related ones;
+    every one scored by three models, all fitted together."""
+    t = _train(spark, sf)
+    low = {r["feature"] for r in eliminate_collinear(t, MODEL_FEATURES).where("action = 'keep'").collect()}  # a row a feature
+    packed = pack(t, MODEL_FEATURES, ["fold"])
+    gains = fit_all(packed, [Fit(SUBSET_MODELS[0], tuple(range(len(MODEL_FEATURES))))]).gains[0]
+    packed.release()
+    top = sorted(range(len(gains)), key=lambda j: (-gains[j], j))[:5]
+    sets = {"current": MODEL_FEATURES, "low_vif": [c for c in MODEL_FEATURES if c in low], "top_5": [MODEL_FEATURES[j] for j in sorted(top)],
+            "no_is_alone": [c for c in MODEL_FEATURES if c != "is_alone"], "no_family_size": [c for c in MODEL_FEATURES if c != "family_size"]}
+    r = cv_table(t, SUBSET_MODELS, sets, with_train=False)
+    wide = r.groupBy("feature_set", "n_features").agg(
+        *[F.max(F.when(F.col("model") == s.name, F.col(c))).alias(f"{s.name}_{n}") for s in SUBSET_MODELS for c, n in (("cv_score", "mean"), ("cv_std", "std"))],
+        F.avg("cv_score").alias("avg_mean"))
+    return _round(wide, [c for c in wide.columns if c.endswith(("_mean", "_std"))])

@@ -10,7 +10,7 @@ from tabforge.operators.common import safe_corr
 from tabforge.functions.bins import qcut, quantile_edges
 from tabforge.functions.text import prefix_class, title
 from tabforge.operators.joins import count_lookup
-from tabforge.operators.profile import chi2_yates, correlations, vif
+from tabforge.operators.profile import chi2_yates, correlations, eliminate_collinear, vif
 from tabforge.operators.quantiles import group_mode, group_quantiles
 from tabforge.plans.fixtures import base
 from tabforge.plans.q_groups import PREFIX_SQL
@@ -240,3 +240,24 @@ def q_k14(spark, sf):
     feats = spark.createDataFrame([(x,) for x in NUM], "feature string")
     return feats.join(drop, "feature", "left").select(
         "feature", F.when(F.col("_d").isNull(), "keep").otherwise("drop").alias("action"))
+
+
+# a feature that only the others together give: no pair of them correlates that much
+_JOINT = "amount_a + amount_b / 20 + 300 * n_sib"
+_TRIO = ["amount_a", "amount_b", "joint"]
+
+
+@query("q_k14_vif_elimination", f"""
+WITH x AS (SELECT amount_a, amount_b, {_JOINT} AS joint FROM base WHERE amount_a IS NOT NULL AND amount_b IS NOT NULL),
+r AS (SELECT corr(amount_a, amount_b) AS r12, corr(amount_a, joint) AS r13, corr(amount_b, joint) AS r23 FROM x),
+d AS (SELECT *, 1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23 AS det FROM r),
+v AS (SELECT 'amount_a' AS feature, 1 AS pos, (1 - r23 * r23) / det AS vif, 1 / (1 - r23 * r23) AS pair FROM d
+      UNION ALL SELECT 'amount_b', 2, (1 - r13 * r13) / det, 1 / (1 - r13 * r13) FROM d
+      UNION ALL SELECT 'joint', 3, (1 - r12 * r12) / det, 1 / (1 - r12 * r12) FROM d),
+w AS (SELECT *, row_number() OVER (ORDER BY vif DESC, pos DESC) AS rn, max(vif) OVER () > 5 AS goes FROM v)
+SELECT feature, CASE WHEN goes AND rn = 1 THEN 1 ELSE 0 END AS step,
+       round(CASE WHEN goes AND rn > 1 THEN (SELECT pair FROM w WHERE rn = 1) ELSE vif END, 4) AS vif,
+       CASE WHEN goes AND rn = 1 THEN 'drop' ELSE 'keep' END AS action FROM w""")
+def q_k14_vif(spark, sf):
+    b = base(spark, sf).where("amount_a IS NOT NULL AND amount_b IS NOT NULL").withColumn("joint", F.expr(_JOINT))
+    return eliminate_collinear(b, _TRIO, 5.0).withColumn("vif", F.round("vif", 4))
