@@ -95,6 +95,11 @@ def q_l7(spark, sf):
     return _cv(spark, sf, ModelSpec("rff_svm", "rff", {"C": 1.0, "n_components": 40}))
 
 
+@query("q_l7_rbf_kernel_svm")
+def q_l7_svm(spark, sf):
+    return _table(spark, sf, [ModelSpec("svm", "svm", {"C": 1.0, "n_landmarks": 64})], {"all": MODEL_FEATURES}).drop("feature_set", "n_features")
+
+
 @query("q_l8_linear_regression_r2", """
 SELECT round(regr_r2(amount_b, amount_a), 6) AS r2, count(*) FILTER (WHERE amount_a IS NOT NULL AND amount_b IS NOT NULL) AS n FROM base""")
 def q_l8(spark, sf):

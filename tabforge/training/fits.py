@@ -376,9 +376,12 @@ KINDS = {"forest": fit_forests, "gbt": fit_boosted, "xgb": fit_boosted, "leafwis
 
 def fit_all(packed: Packed, fits: Sequence[Fit]) -> Fitted:
     """Fits all models, each kind in one go."""
+    from tabforge.training.svm import fit_svms
+
+    kinds = KINDS | {"svm": fit_svms}
     out = Fitted(list(fits), [None] * len(fits))
-    for trainer in dict.fromkeys(KINDS[f.spec.kind] for f in fits):
-        trainer(packed, [(i, f) for i, f in enumerate(fits) if KINDS[f.spec.kind] is trainer], out)
+    for trainer in dict.fromkeys(kinds[f.spec.kind] for f in fits):
+        trainer(packed, [(i, f) for i, f in enumerate(fits) if kinds[f.spec.kind] is trainer], out)
     return out
 
 
