@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.folds import group_folds
 from tabforge.operators.chained import fit_chained
-from tabforge.operators.metrics import brier
-from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores, isotonic_calibrated_oof,
+from tabforge.operators.isotonic import isotonic_values
+from tabforge.operators.metrics import brier, log_loss
+from tabforge.operators.models import (ModelSpec, cv_summary, evaluate, fit, fold_scores,
                                        oof_predictions, stack_frame, train_score)
 from tabforge.operators.profile import correlations, eliminate_collinear, vif
-from tabforge.plans.fixtures import base
+from tabforge.plans.fixtures import base, scores
 from tabforge.plans.recipes import MODEL_FEATURES, model_frame
 from tabforge.plans.registry import query
 from tabforge.session import cut_lineage
 from tabforge.training.blocks import pack
-from tabforge.training.fits import Fit, cv_table, fit_all, stacked_table, strategy_table
+from tabforge.training.fits import Fit, calibrated_table, cv_table, fit_all, stacked_table, strategy_table
 from tabforge.training.search import search
 
 LOGREG = ModelSpec("logreg", "logreg", {"C": 0.1, "max_iter": 1000})
@@ -309,13 +310,23 @@ def q_p11(spark, sf):
 
 @query("q_p12_isotonic_calibration")
 def q_p12(spark, sf):
-    t = _train(spark, sf)
-    raw = oof_predictions(t, FOREST, MODEL_FEATURES).drop("seed")
-    cal = isotonic_calibrated_oof(t, FOREST, MODEL_FEATURES, inner_folds=2)
-    both = raw.unionByName(cal)
-    g = both.groupBy("model").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"),
-                                  brier(F.col("proba"), F.col("label")).alias("brier"))
-    return _round(g, ["accuracy", "brier"])
+    both = calibrated_table(_train(spark, sf), [LOGREG, FOREST, BOOST], MODEL_FEATURES)
+    g = both.groupBy("model", "cv").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"),
+                                        brier(F.col("proba"), F.col("label")).alias("brier"),
+                                        log_loss(F.col("proba"), F.col("label")).alias("log_loss"))
+    return _round(g, ["accuracy", "brier", "log_loss"])
+
+
+@query("q_p12_isotonic_values", """
+WITH p AS (SELECT model, floor(proba * 100 + 0.000001) / 100 AS x, count(*) AS w, sum(label) AS s FROM scores GROUP BY ALL),
+c AS (SELECT model, x, w, sum(w) OVER k AS cw, sum(s) OVER k AS cs, sum(w) OVER k - w AS bw, sum(s) OVER k - s AS bs FROM p
+      WINDOW k AS (PARTITION BY model ORDER BY x)),
+m AS (SELECT i.model, i.x, i.w, a.x AS lo, min((b.cs - a.bs) / CAST(b.cw - a.bw AS DOUBLE)) AS least
+      FROM c i JOIN c a ON a.model = i.model AND a.x <= i.x JOIN c b ON b.model = i.model AND b.x >= i.x GROUP BY ALL)
+SELECT model, x AS score, CAST(w AS BIGINT) AS w, round(max(least), 6) AS value FROM m GROUP BY model, x, w""")
+def q_p12_values(spark, sf):
+    v = isotonic_values(scores(spark, sf).withColumn("x", F.floor(F.col("proba") * 100 + 0.000001) / F.lit(100.0)), "model", "x", "label")
+    return v.select(F.col("key").alias("model"), "score", "w", F.round("value", 6).alias("value"))
 
 
 @query("q_j17_imputation_strategy_comparison")

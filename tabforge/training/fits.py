@@ -501,3 +501,38 @@ def stacked_table(df: DataFrame, bases: Sequence[ModelSpec], metas: Sequence[tup
     out = cut_lineage(named(predictions(stacked, fit_all(stacked, fits)), fits, which))
     stacked.release()
     return out.select(id_col, "model", "seed", F.col("_fold").cast("int").alias("fold"), "label", "proba", "pred")
+
+
+def calibrated_table(df: DataFrame, specs: Sequence[ModelSpec], features: Sequence[str], inner_folds: Sequence[int] = (2, 5), label: str = "label",
+                     id_col: str = "id", fold_col: str = "fold", seed: int = 42, max_bins: int = 64) -> DataFrame:
+    """Out-of-fold predictions of all configurations, as they are (cv 0) and isotonically calibrated over 2 and 5
+    inner folds: id, model, cv, fold, label, proba, pred. Inner folds are stratified within outer fold and label; for each
+    the model is fitted without it, calibrated on it, and the calibrated probabilities of the inner models are averaged."""
+    from tabforge.operators.isotonic import isotonic_values
+
+    folds = folds_of(df, fold_col)
+    marked = df.withColumn("_strata", F.col(fold_col) * 2 + F.col(label))
+    for k in inner_folds:
+        marked = stratified_folds(marked, id_col, "_strata", k, seed, f"_inner{k}")
+    marked = cut_lineage(marked.drop("_strata"))
+    packed = pack(marked, features, [fold_col, *[f"_inner{k}" for k in inner_folds]], label, id_col, max_bins)
+    at = tuple(range(len(features)))
+    fits, extra = [], []
+    for s in specs:
+        for f in folds:
+            for k, i in [(0, 0), *[(k, i) for k in inner_folds for i in range(k)]]:
+                fits.append(Fit(s, at, ((fold_col, f),) + (((f"_inner{k}", i),) if k else ()), seed))
+                extra.append({"outer": f, "cv": k, "inner": i})
+    fitted = fit_all(packed, fits)
+    # an inner model scores its inner fold (to calibrate) and the outer fold (to predict): the first condition alone, then both
+    outside = Fitted([Fit(f.spec, at, f.conditions[:1], seed) for f in fits], fitted.models)
+    held = named(predictions(packed, fitted), fits, extra).where("cv <> '0'")
+    preds = cut_lineage(named(predictions(packed, outside), outside.fits, extra))
+    packed.release()
+    plain = preds.where("cv = '0'").select(id_col, "model", F.lit(0).alias("cv"), "fold", "label", "proba")
+    name = F.concat_ws("|", "model", "cv", "outer", "inner").alias("key")
+    scored = preds.where("cv <> '0'").select(name, id_col, "model", F.col("cv").cast("int").alias("cv"), "fold", "label", F.col("proba").alias("score"))
+    both = held.select(name, F.col("proba").alias("score"), F.col("label").alias("y")).unionByName(scored.select("key", "score", F.lit(None).cast("int").alias("y")))
+    values = isotonic_values(both, "key", "score", "y").select("key", "score", "value")
+    fixed = scored.join(values, ["key", "score"]).groupBy(id_col, "model", "cv", "fold", "label").agg(F.avg("value").alias("proba"))
+    return plain.unionByName(fixed).withColumn("pred", (F.col("proba") >= 0.5).cast("int"))
