@@ -10,18 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.common import checked_broadcast, flag
-from tabforge.operators.ranking import bucketed_row_number
-
-
-def string_prefix_bucket(col: str | Column) -> Column:
-    """Order-preserving bucket of a string: code points of its first two chars."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (F.ascii(F.substring(c, 1, 1)).cast("long") * F.lit(1 << 21)
-            + F.ascii(F.substring(c, 2, 1)).cast("long"))
+from tabforge.operators.ranking import range_row_number
 
 
 @dataclass
@@ -44,13 +38,12 @@ class LabelEncoderModel:
 def label_encoder(df: DataFrame, col: str, out: str | None = None, on_unseen: str = "error") -> LabelEncoderModel:
     """Codes 0..k-1 in sorted value order, learnt from ``df``.
 
-    The distinct values are ranked with the bucketed row number, so a
-    high-cardinality column is never sorted in one task.
+    The distinct values are ranked in ranges cut by sampled splitters, so that
+    no task sorts them all, whatever prefix they share; the codes are written.
     """
     d = df.where(F.col(col).isNotNull()).select(col).distinct()
-    ranked = bucketed_row_number(d, None, [F.col(col)], string_prefix_bucket(col)
-                                 if dict(df.dtypes)[col] == "string" else F.col(col).cast("long"), "_rn")
-    codes = ranked.select(col, (F.col("_rn") - 1).cast("int").alias("code")).persist()
+    ranked = range_row_number(d, [F.col(col)], "_rn")
+    codes = ranked.select(col, (F.col("_rn") - 1).cast("int").alias("code"))
     return LabelEncoderModel(col, codes, out or f"{col}_code", on_unseen)
 
 
@@ -76,7 +69,7 @@ class OneHotModel:
 
 def one_hot(df: DataFrame, col: str, drop_first: bool = True, max_categories: int = 1000,
             prefix: str | None = None) -> OneHotModel:
-    """Fit the sorted category list (bounded by ``max_categories``)."""
+    """Fit the sorted category list; one column a category, so at most ``max_categories`` (``sparse_one_hot`` has no bound)."""
     cats = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct()
             .orderBy(col).limit(max_categories + 1).collect()]
     if len(cats) > max_categories:
@@ -84,6 +77,42 @@ def one_hot(df: DataFrame, col: str, drop_first: bool = True, max_categories: in
     return OneHotModel(col, cats, drop_first, prefix)
 
 
+@dataclass
+class SparseOneHotModel:
+    """One-hot codes of any number of categories; the dictionary stays distributed."""
+    col: str
+    slots: DataFrame  # (col, slot): position of the category's flag, null for the one dropped
+    n_slots: int
+
+    def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """Adds the position of the row's only 1 among ``n_slots`` flags; null (all flags 0) for
+        null, dropped and unseen values. Train and serve frames share the positions."""
+        out = out or f"{self.col}_slot"
+        known = self.slots.select(F.col(self.col).alias("_category"), F.col("slot").alias(out))
+        return df.join(known, F.col(self.col) == F.col("_category"), "left").drop("_category")
+
+    def long(self, df: DataFrame, id_col: str) -> DataFrame:
+        """(id, slot, value): the flags that are 1."""
+        x = self.transform(df.select(id_col, self.col), "slot").where(F.col("slot").isNotNull())
+        return x.select(id_col, "slot", F.lit(1.0).alias("value"))
+
+    def vectors(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """Adds a sparse vector of ``n_slots`` entries for Spark ML estimators; all zeros where no flag is 1."""
+        out = out or f"{self.col}_vector"
+        x = self.transform(df, "_slot").withColumn("_slot", F.coalesce("_slot", F.lit(self.n_slots)).cast("double"))
+        # index n_slots stands for "none": the encoder's last category, which it leaves out
+        sizes = df.sparkSession.range(self.n_slots, self.n_slots + 1).select(F.col("id").cast("double").alias("_slot"))
+        return OneHotEncoder(inputCol="_slot", outputCol=out, dropLast=True).fit(sizes).transform(x).drop("_slot")
+
+
+def sparse_one_hot(df: DataFrame, col: str, drop_first: bool = True) -> SparseOneHotModel:
+    """I3/I14 without a bound on categories: positions follow the sorted values, learnt from ``df``."""
+    codes = label_encoder(df, col).codes
+    drop = 1 if drop_first else 0
+    slots = codes.select(col, F.when(F.col("code") >= drop, F.col("code") - drop).cast("int").alias("slot"))
+    return SparseOneHotModel(col, slots, max(0, codes.count() - drop))
+
+
 def one_hot_fixed(col: str, values: Sequence, prefix: str | None = None) -> dict[str, Column]:
     """I4: flag columns for a fixed value list."""
     p = prefix or col

@@ -6,6 +6,10 @@ order key is cut by an order-preserving ``bucket`` into many ranges; per
 (partition, bucket) counts form a small table whose prefix sums are the
 offsets; ranks are computed inside (partition, bucket) and shifted by the
 offset. The result is identical to the plain window.
+
+``bucketed_row_number`` takes a bucket known to be even (a hash prefix); keys of
+unknown shape go through ``range_row_number``, whose ranges are cut by splitters
+sampled from the whole sort key.
 """
 
 from __future__ import annotations
@@ -17,6 +21,10 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.common import as_list, checked_broadcast
 from tabforge.operators.quantiles import value_bucket
+from tabforge.session import cut_lineage
+
+#: ``monotonically_increasing_id`` keeps the partition above these bits and the row's place in it below.
+_PLACE_BITS = 33
 
 
 def hex_prefix_bucket(col: str | Column, chars: int = 4) -> Column:
@@ -57,6 +65,45 @@ def bucketed_row_number(df: DataFrame, partition: Sequence[str] | str | None,
     return x.withColumn(name, F.row_number().over(wi) + F.col("_off")).drop("_bk", "_off")
 
 
+def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` in sorted ranges, one a task, with ``_range`` (ascending along ``order``) and ``_place`` (from 0).
+
+    The splitters are sampled from the full composite key, so that neither long
+    shared prefixes nor equal leading columns crowd one task. The ranges are
+    written, because a range computed again could be cut elsewhere.
+    """
+    x = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    x = cut_lineage(x)
+    return (x.withColumn("_range", F.shiftright("_at", _PLACE_BITS))
+            .withColumn("_place", F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("_at"))
+
+
+def range_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
+                     partition: Sequence[str] | str | None = None) -> DataFrame:
+    """``row_number() over (partition by P order by O)`` from sampled ranges of (P, O).
+
+    ``order`` must be a total order within P. A row's place in its range plus the
+    rows of earlier ranges is its rank; the table of ranges has one row a task.
+    With ``partition`` the rank of P's first row is subtracted, so a huge P is
+    spread over many ranges and many small ones share a range.
+    """
+    part = as_list(partition)
+    x = sorted_ranges(df, [*[F.col(c) for c in part], *order])
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (x.groupBy(F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+            .select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    x = (x.join(F.broadcast(offs), F.col("_range") == F.col("_r"))
+         .withColumn(name, F.col("_off") + F.col("_place") + 1).drop("_range", "_place", "_r", "_off"))
+    if not part:
+        return x
+    first = x.groupBy(*[F.col(c).alias(f"_o{i}_") for i, c in enumerate(part)]).agg(F.min(name).alias("_first_rn"))
+    on = F.lit(True)
+    for i, c in enumerate(part):
+        on = on & F.col(c).eqNullSafe(F.col(f"_o{i}_"))
+    return (x.join(first, on).withColumn(name, F.col(name) - F.col("_first_rn") + 1)
+            .drop("_first_rn", *[f"_o{i}_" for i in range(len(part))]))
+
+
 def bucketed_running_sum(df: DataFrame, partition: Sequence[str] | str | None, order_col: str,
                          values: Sequence[str], descending: bool = False,
                          prefix: str = "cum_") -> DataFrame:
@@ -83,6 +130,5 @@ def dense_ids(df: DataFrame, key: str, order_by: str, name: str = "code", start:
     """Factorise ``key`` into consecutive ids in order of first appearance
     (smallest ``order_by``), as a small (key, id) table to join back."""
     first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order_by).alias("_first"))
-    ranked = bucketed_row_number(first, None, [F.col("_first"), F.col(key)],
-                                 value_bucket(F.col("_first").cast("double"), 1024), "_rn")
+    ranked = range_row_number(first, [F.col("_first"), F.col(key)], "_rn")
     return ranked.select(key, (F.col("_rn") - 1 + start).alias(name))

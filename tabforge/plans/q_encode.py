@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.text import concat_keys, prefix_class
 from tabforge.operators.common import flag
 from tabforge.operators.encode import (family_features, gated, label_encoder, one_hot, one_hot_fixed,
-                                       rare_bucket, standard_scaler, target_mean_oof)
+                                       rare_bucket, sparse_one_hot, standard_scaler, target_mean_oof)
 from tabforge.operators.folds import stratified_folds
 from tabforge.operators.joins import count_lookup, dict_lookup
 from tabforge.operators.features import long_features
@@ -47,6 +47,15 @@ def q_i3(spark, sf):
     return m.transform(b).select("id", *m.columns)
 
 
+@query("q_i3_one_hot_sparse", """
+WITH c AS (SELECT ticket, row_number() OVER (ORDER BY ticket) - 2 AS slot FROM (SELECT DISTINCT ticket FROM base WHERE origin = 'train' AND ticket IS NOT NULL))
+SELECT id, CAST(slot AS INTEGER) AS slot, (SELECT count(*) - 1 FROM c) AS n_slots FROM base JOIN c USING (ticket) WHERE slot >= 0""")
+def q_i3_sparse(spark, sf):
+    b = base(spark, sf)
+    m = sparse_one_hot(b.where(is_train()), "ticket")
+    return m.long(b, "id").select("id", "slot", F.lit(m.n_slots).cast("long").alias("n_slots"))
+
+
 @query("q_i4_one_hot_fixed_list", """
 SELECT id, CAST(category = 'F' AS INTEGER) AS cat_F, CAST(category = 'O' AS INTEGER) AS cat_O,
        CAST(category = 'P' AS INTEGER) AS cat_P FROM base""")
@@ -157,6 +166,15 @@ def q_i14(spark, sf):
     return m.transform(b).select("id", *m.columns)
 
 
+@query("q_i14_crossed_one_hot_sparse", """
+WITH t AS (SELECT *, ticket || '_' || klass AS ck FROM base),
+c AS (SELECT ck, row_number() OVER (ORDER BY ck) - 2 AS slot FROM (SELECT DISTINCT ck FROM t WHERE origin = 'train' AND ck IS NOT NULL))
+SELECT id, ck, CAST(CASE WHEN slot >= 0 THEN slot END AS INTEGER) AS slot FROM t LEFT JOIN c USING (ck)""")
+def q_i14_sparse(spark, sf):
+    b = base(spark, sf).withColumn("ck", concat_keys("ticket", "klass"))
+    return sparse_one_hot(b.where(is_train()), "ck").transform(b, "slot").select("id", "ck", "slot")
+
+
 @query("q_i15_standardise_population", """
 WITH s AS (SELECT avg(amount_a) AS ma, stddev_pop(amount_a) AS sa, avg(amount_b) AS mb, stddev_pop(amount_b) AS sb
            FROM base WHERE origin = 'train')

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabforge.operators.ensemble import with_pred
-from tabforge.operators.folds import (fold_balance, group_folds, group_profile, repeated_stratified_folds,
+from tabforge.operators.folds import (balanced_group_folds, fold_balance, group_folds, group_profile, repeated_stratified_folds,
                                       stratified_folds)
 from tabforge.operators.metrics import binary_metrics, roc_auc
 from tabforge.operators.selection import (composite_score, constrained_best, penalised_best, seed_count_curve,
@@ -56,6 +56,39 @@ def q_m4(spark, sf):
     return fold_balance(f, "label").select("fold", "n", "positives")
 
 
+def _greedy_sql(pos, k=5):
+    """Group by group: each goes to the fold where it adds least to the squared deviation of the class counts."""
+    load = "CAST(ps[f] AS HUGEINT) * g.pos * tn * tn + CAST(ns[f] AS HUGEINT) * g.neg * tp * tp"
+    return f"""
+WITH RECURSIVE g AS (SELECT ticket, pos, size - pos AS neg, row_number() OVER (ORDER BY size DESC, pos DESC, ticket) AS nth
+  FROM (SELECT ticket, count(*) AS size, {pos} AS pos FROM base WHERE ticket IS NOT NULL GROUP BY ticket)),
+tot AS (SELECT greatest(1, sum(pos)) AS tp, greatest(1, sum(neg)) AS tn FROM g),
+walk AS (SELECT CAST(0 AS BIGINT) AS nth, 0 AS fold, [CAST(0 AS BIGINT) FOR x IN range({k})] AS ps, [CAST(0 AS BIGINT) FOR x IN range({k})] AS ns
+  UNION ALL
+  SELECT nth, fold, [CASE WHEN f = fold THEN ps[f] + pos ELSE ps[f] END FOR f IN range(1, {k + 1})],
+         [CASE WHEN f = fold THEN ns[f] + neg ELSE ns[f] END FOR f IN range(1, {k + 1})]
+  FROM (SELECT g.nth, g.pos, g.neg, ps, ns, list_position(loads, list_min(loads)) AS fold
+        FROM (SELECT g.nth, g.pos, g.neg, ps, ns, [{load} FOR f IN range(1, {k + 1})] AS loads
+              FROM walk JOIN g ON g.nth = walk.nth + 1 CROSS JOIN tot) AS g))"""
+
+
+@query("q_m3_lightest_fold", _greedy_sql("CAST(0 AS BIGINT)") + """
+SELECT CAST(fold - 1 AS INTEGER) AS fold, pos + neg AS size, count(*) AS n_groups FROM walk JOIN g USING (nth) GROUP BY ALL""")
+def q_m3_lightest(spark, sf):
+    f = balanced_group_folds(base(spark, sf).where(F.col("ticket").isNotNull()).select("ticket"), "ticket", 5)
+    return (f.groupBy("ticket", "fold").agg(F.count(F.lit(1)).alias("size"))
+            .groupBy("fold", "size").agg(F.count(F.lit(1)).alias("n_groups")))
+
+
+@query("q_m4_balanced_group_folds", _greedy_sql("CAST(sum(label) AS BIGINT)") + """
+SELECT CAST(fold - 1 AS INTEGER) AS fold, CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS positives, count(*) AS n_groups
+FROM walk JOIN g USING (nth) GROUP BY fold""")
+def q_m4_balanced(spark, sf):
+    f = balanced_group_folds(base(spark, sf).where(F.col("ticket").isNotNull()).select("ticket", "label"), "ticket", 5, label="label")
+    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("long").alias("positives"),
+                                 F.count_distinct("ticket").alias("n_groups"))
+
+
 @query("q_m5_group_size_profile", """
 SELECT size, count(*) AS n_groups, CAST(sum(size) AS BIGINT) AS n_rows FROM (SELECT ticket, count(*) AS size FROM base GROUP BY ticket)
 GROUP BY size""")

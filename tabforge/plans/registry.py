@@ -26,6 +26,8 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{v} AS ({_VIEWS[v]})" for v in needed)
     body = sql.strip()
+    if re.match(r"WITH\s+RECURSIVE\s", body, re.I):
+        return f"WITH RECURSIVE {ctes},\n{re.split(r'RECURSIVE', body, maxsplit=1, flags=re.I)[1].lstrip()}"
     if re.match(r"WITH\s", body, re.I):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
