@@ -63,8 +63,8 @@ def missing_impact(df: DataFrame, cols: Sequence[str], label: str, alpha: float
                                       F.col(f"`{c}|np`").alias("n_present"),
                                       F.coalesce(F.col(f"`{c}|pp`"), F.lit(0.0)).alias("pos_present")) for c in cols]))
     x = wide.select(st.alias("s")).select("s.*")
-    rm = F.col("pos_missing") / F.col("n_missing")
-    rp = F.col("pos_present") / F.col("n_present")
+    rm = F.try_divide("pos_missing", "n_missing")
+    rp = F.try_divide("pos_present", "n_present")
     chi2, p = chi2_yates(F.col("pos_missing"), F.col("n_missing") - F.col("pos_missing"),
                          F.col("pos_present"), F.col("n_present") - F.col("pos_present"))
     return x.select("column", "n_missing", "n_present", F.round(rm, 6).alias("rate_missing"),

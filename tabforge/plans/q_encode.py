@@ -14,6 +14,7 @@ from tabforge.operators.features import long_features
 from tabforge.plans.fixtures import base
 from tabforge.plans.q_groups import PREFIX_SQL
 from tabforge.plans.q_relational import FOLD_SQL, TITLE_SQL, is_train
+from tabforge.plans.recipes import coded_recipe, wide_recipe
 from tabforge.plans.registry import query
 
 
@@ -200,6 +201,51 @@ def q_i16(spark, sf):
     return basic_recipe(base(spark, sf))
 
 
+_MERGED_SQL = f"""CASE WHEN {TITLE_SQL} IN ('Lady', 'Countess', 'Capt', 'Col', 'Don', 'Dr', 'Major', 'Rev', 'Sir', 'Jonkheer', 'Dona') THEN 'Rare'
+  WHEN {TITLE_SQL} IN ('Mlle', 'Ms') THEN 'Miss' WHEN {TITLE_SQL} = 'Mme' THEN 'Mrs' ELSE {TITLE_SQL} END"""
+_CODED_SQL = f"""
+WITH t AS (SELECT *, CASE {_MERGED_SQL} WHEN 'Mr' THEN 1 WHEN 'Miss' THEN 2 WHEN 'Mrs' THEN 3 WHEN 'Master' THEN 4 WHEN 'Rare' THEN 5 ELSE 0 END AS title_code,
+             CAST(substr(klass, 1, 1) AS INTEGER) AS klass_num, count(*) OVER (PARTITION BY ticket) AS ticket_group FROM base),
+g AS (SELECT title_code, klass, median(amount_a) AS v FROM t GROUP BY title_code, klass),
+k AS (SELECT klass, median(amount_b) AS w FROM t GROUP BY klass),
+f AS (SELECT t.* REPLACE (coalesce(amount_a, v) AS amount_a, coalesce(amount_b, w) AS amount_b), CAST(amount_a IS NULL AS INTEGER) AS amount_a_missing,
+        CAST(region IS NULL AS INTEGER) AS region_missing FROM t LEFT JOIN g USING (title_code, klass) LEFT JOIN k USING (klass)),
+m AS (SELECT median(amount_a) AS rest, list_sort(list_distinct(quantile_cont(amount_b, [0, 0.25, 0.5, 0.75, 1.0]))) AS e FROM f)
+SELECT id, klass_num, CASE category WHEN 'O' THEN 0 WHEN 'F' THEN 1 WHEN 'P' THEN 2 END AS category_code, title_code, coalesce(amount_a, rest) AS amount_a,
+  CAST(n_sib + n_par = 0 AS INTEGER) AS is_alone, CASE WHEN amount_b = e[1] THEN 0 ELSE CAST(len(list_filter(e, lambda x: x < amount_b)) - 1 AS INTEGER) END AS amount_bin,
+  CAST(n_sib + n_par BETWEEN 1 AND 3 AS INTEGER) AS small_family, amount_a_missing, region_missing, label"""
+_DECK_SQL = "CAST(coalesce(substr(unit_code, 1, 1) IN ('D', 'E', 'B'), false) AS INTEGER) AS deck_safe"
+
+
+@query("q_i16_recipe_9_columns", _CODED_SQL + " FROM f CROSS JOIN m")
+def q_i16_9(spark, sf):
+    return coded_recipe(base(spark, sf), 9)
+
+
+@query("q_i16_recipe_10_columns", f"{_CODED_SQL}, {_DECK_SQL} FROM f CROSS JOIN m")
+def q_i16_10(spark, sf):
+    return coded_recipe(base(spark, sf), 10)
+
+
+@query("q_i16_recipe_11_columns", f"{_CODED_SQL}, {_DECK_SQL}, ticket_group FROM f CROSS JOIN m")
+def q_i16_11(spark, sf):
+    return coded_recipe(base(spark, sf), 11)
+
+
+@query("q_i16_recipe_20_columns", f"""
+WITH t AS (SELECT *, CASE WHEN {_MERGED_SQL} IN ('Mr', 'Miss', 'Mrs', 'Master') THEN {_MERGED_SQL} ELSE 'Rare' END AS title,
+             CAST(substr(klass, 1, 1) AS INTEGER) AS klass_num, n_sib + n_par + 1 AS family_size, count(*) OVER (PARTITION BY ticket) AS ticket_group FROM base),
+g AS (SELECT title, median(amount_a) AS v FROM t GROUP BY title), m AS (SELECT median(amount_b) AS w FROM t),
+f AS (SELECT t.* REPLACE (coalesce(amount_a, v) AS amount_a, CASE WHEN amount_b = 0 THEN w ELSE coalesce(amount_b, w) END AS amount_b,
+             coalesce(region, 'ASIA') AS region) FROM t JOIN g USING (title) CROSS JOIN m)
+SELECT id, klass_num, CAST(category = 'O' AS INTEGER) AS is_first_category, amount_a, n_sib, n_par, family_size, CAST(family_size = 1 AS INTEGER) AS is_alone,
+  amount_b, {", ".join(f"CAST(region = '{r}' AS INTEGER) AS region_{r}" for r in ["AFRICA", "AMERICA", "ASIA"])},
+  {", ".join(f"CAST(title = '{t}' AS INTEGER) AS title_{t}" for t in ["Mr", "Miss", "Mrs", "Master", "Rare"])},
+  amount_b / family_size AS amount_per_person, ticket_group, amount_a * klass_num AS amount_a_x_klass, amount_b / klass_num AS amount_b_per_klass, label FROM f""")
+def q_i16_20(spark, sf):
+    return wide_recipe(base(spark, sf))
+
+
 # Per-model feature lists of the selection demo.
 MODEL_FEATURES = {"linear": ["amount_a", "n_sib"], "tree": ["amount_b", "n_par", "n_sib"]}
 

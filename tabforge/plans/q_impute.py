@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabforge.functions.text import title
+from tabforge.operators.comparison import selected_missing_flags
 from tabforge.operators.impute import (ChainedRuleImputer, GroupImputer, fill_constant, fill_global,
                                        fill_in_frame, missing_flags, presence_flag)
 from tabforge.operators.joins import best_match, rule_fill
@@ -187,6 +188,21 @@ def q_j12(spark, sf):
     return imp.select("column", ((F.abs("diff") > 0.05) | (F.col("p_value") < 0.05)).cast("int").alias("selected"))
 
 
+_SELECTED_SQL = "(SELECT list(\"column\") FROM imp WHERE abs(diff) > 0.05 OR p_value < 0.05)"
+
+
+@query("q_j12_selected_flags", f"""
+WITH tr AS (SELECT * FROM base WHERE origin = 'train'), imp AS ({_impact_sql(IMPACT_COLS, "tr")}), sel AS (SELECT {_SELECTED_SQL} AS s)
+SELECT id, origin, array_to_string([f FOR f IN [{", ".join(f"CASE WHEN {c} IS NULL AND list_contains(s, '{c}') THEN '{c}_missing' END" for c in IMPACT_COLS)}]
+       IF f IS NOT NULL], ',') AS raised, coalesce(len(s), 0) AS n_flags FROM base CROSS JOIN sel""")
+def q_j12_flags(spark, sf):
+    b = base(spark, sf).select("id", "origin", "label", *IMPACT_COLS)
+    flags, (train, serve) = selected_missing_flags(b.where("origin = 'train'"), [b.where("origin = 'serve'")], IMPACT_COLS, "label")
+    both = train.unionByName(serve)
+    raised = F.concat_ws(",", *[F.when(F.col(f) == 1, f) for f in flags]) if flags else F.lit("")
+    return both.select("id", "origin", raised.alias("raised"), F.lit(len(flags)).cast("long").alias("n_flags"))
+
+
 @query("q_j13_missing_summary", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
     round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) AS pct FROM base

@@ -9,6 +9,8 @@ from tabforge.operators.common import safe_corr
 
 from tabforge.functions.bins import qcut, quantile_edges
 from tabforge.functions.text import prefix_class, title
+from tabforge.operators.comparison import agreement, block_correlations, mean_std_differences, top_differences
+from tabforge.operators.groups import describe
 from tabforge.operators.joins import count_lookup
 from tabforge.operators.profile import chi2_yates, correlations, eliminate_collinear, vif
 from tabforge.operators.quantiles import group_mode, group_quantiles
@@ -52,6 +54,33 @@ def q_k3(spark, sf):
     return wide.select(st.alias("s")).select("s.*")
 
 
+# The two feature blocks of the correlation report.
+BLOCKS = {"key": ["group_size", "key_len", "is_group"], "base": ["klass_num", "amount_b", "family_size", "small_family"],
+          "flag": ["region_missing", "unit_missing"]}
+_BLOCK_SQL = """SELECT count(*) OVER (PARTITION BY ticket) AS group_size, length(ticket) AS key_len,
+  CAST(count(*) OVER (PARTITION BY ticket) > 1 AS INTEGER) AS is_group, CAST(substr(klass, 1, 1) AS INTEGER) AS klass_num, amount_b,
+  n_sib + n_par + 1 AS family_size, CAST(n_sib + n_par + 1 BETWEEN 2 AND 4 AS INTEGER) AS small_family,
+  CAST(region IS NULL AS INTEGER) AS region_missing, CAST(unit_code IS NULL AS INTEGER) AS unit_missing FROM base"""
+
+
+def _block_pairs():
+    of = [(b, c) for b, cols in BLOCKS.items() for c in cols]
+    return [(x, y) for i, x in enumerate(of) for y in of[i + 1:]]
+
+
+@query("q_k3_block_correlations", f"WITH t AS ({_BLOCK_SQL}), c AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS block1, '{b}' AS block2, '{x}' AS f1, '{y}' AS f2, corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) AS r FROM t"
+    for (a, x), (b, y) in _block_pairs()) + ") SELECT block1, block2, f1, f2, round(r, 6) AS corr FROM c WHERE NOT isnan(r) AND abs(r) > 0.3")
+def q_k3_blocks(spark, sf):
+    family = F.col("n_sib") + F.col("n_par") + 1
+    t = count_lookup(base(spark, sf), "ticket", "group_size").select(
+        "group_size", F.length("ticket").alias("key_len"), (F.col("group_size") > 1).cast("int").alias("is_group"),
+        F.substring("klass", 1, 1).cast("int").alias("klass_num"), "amount_b", family.alias("family_size"),
+        family.between(2, 4).cast("int").alias("small_family"), F.col("region").isNull().cast("int").alias("region_missing"),
+        F.col("unit_code").isNull().cast("int").alias("unit_missing"))
+    return block_correlations(t, BLOCKS)
+
+
 VIF_COLS = ["amount_a", "amount_b", "n_sib"]
 _CC = "FROM base WHERE amount_a IS NOT NULL AND amount_b IS NOT NULL AND n_sib IS NOT NULL"
 
@@ -119,6 +148,15 @@ def q_k6(spark, sf):
                     (F.abs(F.col("mt") - F.col("ms")) / F.col("st") > 0.1).cast("int").alias("shifted"))
 
 
+@query("q_k6_mean_std_differences", " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, round(ma, 6) AS mean_first, round(mb, 6) AS mean_second, round(abs(ma - mb), 6) AS mean_diff, round(sa, 6) AS std_first,
+  round(sb, 6) AS std_second, round(abs(sa - sb), 6) AS std_diff, CAST(coalesce(abs(ma - mb) > 0.1, false) AS INTEGER) AS shifted
+FROM (SELECT avg({c}) FILTER (WHERE origin = 'train') AS ma, avg({c}) FILTER (WHERE origin = 'serve') AS mb,
+  stddev_samp({c}) FILTER (WHERE origin = 'train') AS sa, stddev_samp({c}) FILTER (WHERE origin = 'serve') AS sb FROM base)""" for c in FEATS))
+def q_k6_raw(spark, sf):
+    return mean_std_differences(base(spark, sf), FEATS, F.col("origin") == "train", F.col("origin") == "serve")
+
+
 @query("q_k7_feature_as_predictor", """
 WITH m AS (SELECT region, label AS majority FROM (SELECT region, label, row_number() OVER (PARTITION BY region ORDER BY count(*) DESC, label) AS rn
            FROM base WHERE region IS NOT NULL GROUP BY region, label) WHERE rn = 1)
@@ -143,6 +181,69 @@ def q_k8(spark, sf):
     return b.groupBy(d.alias("diff"), sign.alias("sign")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _family(spark, sf):
+    return count_lookup(base(spark, sf), "ticket", "group_size").withColumn("family", (F.col("n_sib") + F.col("n_par") + 1).cast("long"))
+
+
+_FAMILY_SQL = "SELECT *, CAST(n_sib + n_par + 1 AS BIGINT) AS family, count(*) OVER (PARTITION BY ticket) AS group_size FROM base"
+
+
+@query("q_k8_match_patterns", f"""
+WITH t AS ({_FAMILY_SQL})
+SELECT CASE WHEN family = group_size THEN 'equal' WHEN family < group_size THEN 'below' ELSE 'above' END AS pattern, count(*) AS n,
+       round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM t), 6) AS share, round(avg(CAST(label AS DOUBLE)), 6) AS rate FROM t GROUP BY 1""")
+def q_k8_patterns(spark, sf):
+    return agreement(_family(spark, sf), "family", "group_size", "label")
+
+
+@query("q_k8_top_differences", f"""
+WITH t AS (SELECT *, family - group_size AS diff FROM ({_FAMILY_SQL}))
+SELECT row_number() OVER (ORDER BY abs(diff) DESC, id) AS pos, id, family, group_size, diff, ticket, label FROM t WHERE diff <> 0
+QUALIFY pos <= 15""")
+def q_k8_top(spark, sf):
+    return top_differences(_family(spark, sf), "id", "family", "group_size", 15, ["ticket", "label"])
+
+
+def _per_member(spark, sf):
+    return count_lookup(base(spark, sf), "ticket", "group_size").select(
+        "id", "ticket", "label", "group_size", "amount_b", (F.col("amount_b") / F.col("group_size")).alias("per_member")).withColumns(
+        {"diff": F.col("amount_b") - F.col("per_member"), "ratio": F.try_divide("per_member", "amount_b")})
+
+
+_MEMBER_SQL = """SELECT id, ticket, label, group_size, amount_b, per_member, amount_b - per_member AS diff, per_member / nullif(amount_b, 0) AS ratio
+  FROM (SELECT *, amount_b / group_size AS per_member FROM (SELECT *, count(*) OVER (PARTITION BY ticket) AS group_size FROM base))"""
+MEMBER_COLS = ["amount_b", "per_member", "diff", "ratio"]
+
+
+@query("q_k9_describe_amounts", f"WITH t AS ({_MEMBER_SQL}) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min,
+    round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75,
+    round(max({c}), 6) AS max FROM t""" for c in MEMBER_COLS))
+def q_k9_describe(spark, sf):
+    return describe(_per_member(spark, sf), MEMBER_COLS)
+
+
+@query("q_k9_by_group_size", f"""
+WITH t AS ({_MEMBER_SQL})
+SELECT group_size, round(avg(amount_b), 6) AS amount_mean, round(stddev_samp(amount_b), 6) AS amount_std, round(avg(per_member), 6) AS member_mean,
+       round(stddev_samp(per_member), 6) AS member_std, round(avg(ratio), 6) AS ratio_mean, round(avg(CAST(label AS DOUBLE)), 6) AS rate,
+       count(label) AS n FROM t GROUP BY group_size""")
+def q_k9_sizes(spark, sf):
+    return _per_member(spark, sf).groupBy("group_size").agg(
+        F.round(F.avg("amount_b"), 6).alias("amount_mean"), F.round(F.stddev_samp("amount_b"), 6).alias("amount_std"),
+        F.round(F.avg("per_member"), 6).alias("member_mean"), F.round(F.stddev_samp("per_member"), 6).alias("member_std"),
+        F.round(F.avg("ratio"), 6).alias("ratio_mean"), F.round(F.avg(F.col("label").cast("double")), 6).alias("rate"), F.count("label").alias("n"))
+
+
+@query("q_k9_top_differences", f"""
+WITH t AS ({_MEMBER_SQL})
+SELECT row_number() OVER (ORDER BY abs(diff) DESC, id) AS pos, id, amount_b, per_member, diff, ticket, group_size, label FROM t
+WHERE diff <> 0 QUALIFY pos <= 10""")
+def q_k9_top(spark, sf):
+    t = _per_member(spark, sf).drop("diff", "ratio")
+    return top_differences(t, "id", "amount_b", "per_member", 10, ["ticket", "group_size", "label"])
+
+
 def _qbin_sql(col, src):
     return f"""(SELECT list_sort(list_distinct(quantile_cont({col}, [0, 0.25, 0.5, 0.75, 1.0]))) FROM {src})"""
 
@@ -162,6 +263,27 @@ def q_k9(spark, sf):
     return x.where(F.col("amount_q").isNotNull()).groupBy("amount_q", "member_q").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _q_sql(col, edges):
+    return (f"CASE WHEN {col} IS NULL THEN NULL WHEN {col} = {edges}[1] THEN 0 "
+            f"ELSE CAST(len(list_filter({edges}, lambda x: x < {col})) - 1 AS INTEGER) END")
+
+
+@query("q_k9_quartile_rates", f"""
+WITH t AS ({_MEMBER_SQL}), e AS (SELECT {_qbin_sql('amount_b', 't')} AS qa, {_qbin_sql('per_member', 't')} AS qp),
+b AS (SELECT label, {_q_sql('amount_b', 'qa')} AS amount_q, {_q_sql('per_member', 'qp')} AS member_q FROM t CROSS JOIN e)
+SELECT amount_q, member_q, CAST(grouping(amount_q) AS INTEGER) AS all_amounts, CAST(grouping(member_q) AS INTEGER) AS all_members,
+       round(avg(CAST(label AS DOUBLE)), 6) AS rate, count(*) AS n
+FROM b WHERE amount_q IS NOT NULL GROUP BY GROUPING SETS ((amount_q), (member_q), (amount_q, member_q))""")
+def q_k9_rates(spark, sf):
+    t = _per_member(spark, sf)
+    ea, ep = quantile_edges(t, "amount_b", 4), quantile_edges(t, "per_member", 4)
+    x = t.select("label", qcut("amount_b", ea).alias("amount_q"), qcut("per_member", ep).alias("member_q")).where("amount_q IS NOT NULL")
+    g = x.groupingSets([["amount_q"], ["member_q"], ["amount_q", "member_q"]], "amount_q", "member_q").agg(
+        F.grouping("amount_q").cast("int").alias("all_amounts"), F.grouping("member_q").cast("int").alias("all_members"),
+        F.round(F.avg(F.col("label").cast("double")), 6).alias("rate"), F.count(F.lit(1)).alias("n"))
+    return g
+
+
 @query("q_k10_id_label_check", """
 SELECT round(corr(CAST(id AS DOUBLE), CAST(label AS DOUBLE)), 6) AS corr,
        CAST(abs(corr(CAST(id AS DOUBLE), CAST(label AS DOUBLE))) > 0.1 AS INTEGER) AS alert FROM base""")
