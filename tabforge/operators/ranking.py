@@ -72,10 +72,10 @@ def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     shared prefixes nor equal leading columns crowd one task. The ranges are
     written, because a range computed again could be cut elsewhere.
     """
-    x = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    x = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range_at", F.monotonically_increasing_id())
     x = cut_lineage(x)
-    return (x.withColumn("_range", F.shiftright("_at", _PLACE_BITS))
-            .withColumn("_place", F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("_at"))
+    return (x.withColumn("_range", F.shiftright("_range_at", _PLACE_BITS))
+            .withColumn("_place", F.col("_range_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("_range_at"))
 
 
 def range_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
@@ -89,11 +89,11 @@ def range_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
     """
     part = as_list(partition)
     x = sorted_ranges(df, [*[F.col(c) for c in part], *order])
-    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (x.groupBy(F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
-            .select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    x = (x.join(F.broadcast(offs), F.col("_range") == F.col("_r"))
-         .withColumn(name, F.col("_off") + F.col("_place") + 1).drop("_range", "_place", "_r", "_off"))
+    before = Window.orderBy("_range_of").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (x.groupBy(F.col("_range").alias("_range_of")).agg(F.count(F.lit(1)).alias("_range_n"))
+            .select("_range_of", F.coalesce(F.sum("_range_n").over(before), F.lit(0)).alias("_range_off")))
+    x = (x.join(F.broadcast(offs), F.col("_range") == F.col("_range_of"))
+         .withColumn(name, F.col("_range_off") + F.col("_place") + 1).drop("_range", "_place", "_range_of", "_range_off"))
     if not part:
         return x
     first = x.groupBy(*[F.col(c).alias(f"_o{i}_") for i, c in enumerate(part)]).agg(F.min(name).alias("_first_rn"))
