@@ -3,14 +3,16 @@ under the shared checkpoint location; each returns what was read back."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tabforge.operators.common import checked_broadcast
 from tabforge.operators.metrics import youden_threshold
 from tabforge.plans.fixtures import base, scores
 from tabforge.plans.registry import query
-from tabforge.sources.files import (append_run_record, read_csv, read_json, scratch_path, write_json_summary,
-                                    write_predictions, write_table)
+from tabforge.sources.files import (append_run_record, prediction_path, read_csv, read_json, read_model_params, scratch_path,
+                                    write_json_summary, write_predictions, write_table)
 
 CSV_SCHEMA = "id long, full_name string, quoted string, amount_a double, n_sib int"
 
@@ -36,8 +38,8 @@ def q_a2(spark, sf):
 def q_a3(spark, sf):
     serve = base(spark, sf).where(F.col("origin") == "serve").select("id", "label", "amount_b")
     path = scratch_path(spark, "predictions")
-    write_predictions(serve, path, ["id", "label"], expected_rows=None)
-    return read_csv(spark, path, "id long, label int")
+    write_predictions(serve, path, ["id", "label"], suffix=".csv", stamp="20250131_0930")
+    return read_csv(spark, prediction_path(path, ".csv", "20250131_0930"), "id long, label int")
 
 
 @query("q_a4_json_summary_sink", """
@@ -78,6 +80,27 @@ def q_a5(spark, sf):
     return j.groupBy("model", "threshold").agg(F.count(F.when(F.col("proba") >= F.col("threshold"), 1)).alias("n_positive"))
 
 
+@query("q_a5_json_params_fit")
+def q_a5_fit(spark, sf):
+    """The best setting of each kind is written as JSON, read again and refitted: the score must come back."""
+    from tabforge.operators.models import ModelSpec
+    from tabforge.plans.recipes import MODEL_FEATURES, model_frame
+    from tabforge.training.fits import cv_table
+    t = model_frame(spark, sf).where("origin = 'train'")
+    tried = ([ModelSpec(f"linear_{c}", "logreg", {"C": c, "max_iter": 1000}) for c in (0.01, 0.1, 1.0)]
+             + [ModelSpec(f"forest_{d}", "forest", {"n_trees": 50, "max_depth": d, "max_features": "sqrt"}) for d in (3, 6)])
+    scores_of = {r["model"]: r["cv_score"] for r in cv_table(t, tried, {"all": MODEL_FEATURES}, with_train=False).collect()}  # one row a model
+    best = [max((s for s in tried if s.kind == kind), key=lambda s: (scores_of[s.name], s.name)) for kind in ("logreg", "forest")]
+    path = scratch_path(spark, "best_params")
+    spark.createDataFrame([(json.dumps([{"model": s.name, "kind": s.kind, "params": s.params, "score": scores_of[s.name]} for s in best]),)],
+                          "j string").coalesce(1).write.text(path)
+    back = read_model_params(spark, path)
+    refit = cv_table(t, [ModelSpec(r["model"], r["kind"], r["params"]) for r in back], {"all": MODEL_FEATURES}, with_train=False)
+    stated = spark.createDataFrame([(r["model"], float(r["score"])) for r in back], "model string, stated_score double")
+    return refit.join(F.broadcast(stated), "model").select("model", F.round("stated_score", 6).alias("stated_score"),
+                                                           F.round("cv_score", 6).alias("cv_score"), F.round("oof_score", 6).alias("oof_score"))
+
+
 @query("q_a6_run_record_append", """
 SELECT 'run1' AS run, klass, count(*) AS n FROM base GROUP BY klass
 UNION ALL SELECT 'run2', klass, CAST(sum(label) AS BIGINT) FROM base GROUP BY klass""")

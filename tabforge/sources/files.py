@@ -10,7 +10,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,20 +44,31 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
         w.format(fmt).save(path)
 
 
+def prediction_path(path: str, suffix: str = "", stamp: str | None = None) -> str:
+    """The target with ``suffix`` (unless it ends so) and, before its last name, a time stamp such as ``20250131_0930``."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    name = name if suffix and name.endswith(suffix) else name + suffix
+    name = f"{stamp}_{name}" if stamp else name
+    return f"{folder}/{name}" if folder else name
+
+
 def write_predictions(df: DataFrame, path: str, required: Sequence[str], expected_rows: int | None = None,
-                      mode: str = "errorifexists", fmt: str = "csv") -> int:
+                      mode: str = "errorifexists", fmt: str = "csv", suffix: str = "", stamp: str | None = None) -> int:
     """A3: validated prediction sink: required columns must exist (error),
     a row-count mismatch is logged as a warning, only the required columns
     are written, and an existing target is refused unless ``mode`` says
-    otherwise. Returns the number of rows written."""
+    otherwise. The target is ``prediction_path(path, suffix, stamp)``. The plan
+    runs once: rows are counted while they are written (a retried task may be
+    counted again). Returns the number of rows written."""
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"prediction frame lacks required columns {missing}")
-    out = df.select(*required)
-    n = out.count()
+    counted = Observation()
+    out = df.select(*required).observe(counted, F.count(F.lit(1)).alias("n"))
+    write_table(out, prediction_path(path, suffix, stamp), fmt=fmt, mode=mode)
+    n = counted.get["n"]
     if expected_rows is not None and n != expected_rows:
         log.warning("prediction rows %d differ from the expected %d", n, expected_rows)
-    write_table(out, path, fmt=fmt, mode=mode)
     return n
 
 
@@ -75,6 +86,19 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     return r.json(path)
 
 
+def read_model_params(spark: SparkSession, path: str) -> list[dict]:
+    """A5: ``[{"model": ..., "kind": ..., "params": {...}, "score": ...}, ...]`` as dicts, by model name. Parameters keep
+    their JSON types (a whole number stays an int). A file of a few models: it may be read on the driver."""
+    rows = spark.read.option("multiLine", True).option("primitivesAsString", False).json(path)
+    missing = {"model", "kind", "params"} - set(rows.columns)
+    if missing:
+        raise ValueError(f"model parameters lack {sorted(missing)}")
+    found = [r.asDict(recursive=True) for r in rows.orderBy("model").limit(1_001).collect()]
+    if len(found) > 1_000:
+        raise ValueError("more than 1,000 models in a parameter file")
+    return [{**r, "params": {k: v for k, v in (r["params"] or {}).items() if v is not None}} for r in found]
+
+
 def append_run_record(df: DataFrame, path: str, run_id: str) -> None:
     """Append a sweep result table as one partition per run."""
     df.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(path)

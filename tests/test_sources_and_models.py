@@ -20,6 +20,33 @@ def test_prediction_sink_validates(spark):
         write_predictions(df, path, ["id", "label"])  # refuses to overwrite
 
 
+def test_prediction_target_and_an_empty_frame(spark):
+    from tabforge.sources.files import prediction_path, scratch_path, write_predictions
+    assert prediction_path("s3://x/out/run", ".csv", "20250131_0930") == "s3://x/out/20250131_0930_run.csv"
+    assert prediction_path("run.csv", ".csv") == "run.csv"
+    path = scratch_path(spark, "q")
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("label"))
+    assert write_predictions(df, path, ["id", "label"], fmt="parquet", suffix="_v1", stamp="s") == 10
+    assert spark.read.parquet(prediction_path(path, "_v1", "s")).count() == 10
+    assert write_predictions(df.where("id > 99"), scratch_path(spark, "none"), ["id"], fmt="parquet") == 0
+    joined = df.join(df.where("id > 99").select("id"), "id")
+    assert write_predictions(joined, scratch_path(spark, "none"), ["id"], fmt="parquet") == 0
+
+
+def test_json_params_keep_their_types(spark):
+    import json
+    from tabforge.sources.files import read_model_params, scratch_path
+    path = scratch_path(spark, "params")
+    given = [{"model": "b", "kind": "forest", "params": {"n_trees": 50, "max_features": "sqrt", "bootstrap": False}},
+             {"model": "a", "kind": "logreg", "params": {"C": 0.1}}]
+    spark.createDataFrame([(json.dumps(given),)], "j string").coalesce(1).write.text(path)
+    assert [(r["model"], r["params"]) for r in read_model_params(spark, path)] == [("a", given[1]["params"]), ("b", given[0]["params"])]
+    bad = scratch_path(spark, "bad")
+    spark.createDataFrame([('[{"model": "a"}]',)], "j string").coalesce(1).write.text(bad)
+    with pytest.raises(ValueError):
+        read_model_params(spark, bad)
+
+
 def test_csv_quotes_round_trip(spark):
     from tabforge.sources.files import read_csv, scratch_path, write_table
     rows = [(1, 'Smith, Mr. "Jack"'), (2, "plain")]
