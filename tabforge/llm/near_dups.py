@@ -37,6 +37,7 @@ with the class's smallest id and text (equal repeated rows are all marked, see
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm.words import mix, powers, shingle_hashes, word_hashes
-from tabforge.session import cut_lineage
+from tabforge.session import checkpoint_dir
 
 REGISTERS, BANDS, BAND_ROWS, NIBBLES = 128, 25, 5, 8
 PARITIES = 8  # words of 64 bits
@@ -219,11 +220,14 @@ def _release(spark: SparkSession) -> None:
 
 
 def _written(df: DataFrame) -> DataFrame:
-    """A checkpoint; what the phase left on the driver (plans, task records, map outputs) goes before the next one begins."""
-    out = cut_lineage(df)
+    """A table in the shared folder, read again: later phases scan the columns they use, and small files of many tasks
+    share a task. What the phase left on the driver (plans, task records, map outputs) goes before the next one begins."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{checkpoint_dir(spark).rstrip('/')}/near-dups-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     del df
-    _release(out.sparkSession)
-    return out
+    _release(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def components(links: DataFrame, known: DataFrame | None = None, whole: bool = True) -> DataFrame:
@@ -231,7 +235,7 @@ def components(links: DataFrame, known: DataFrame | None = None, whole: bool = T
 
     Without ``whole`` one step is taken: vertices of one name are linked, but linked ones may still differ.
     """
-    both = _written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     names = both.select(F.col("a").alias("v")).distinct()
     if known is not None:
         names = names.join(known, "v", "left").select("v", F.coalesce("c", "v").alias("c"))
