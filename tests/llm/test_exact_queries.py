@@ -173,19 +173,59 @@ def test_op10_base(spark, texts):
     assert kept > 0
 
 
-def test_op2_brute(spark, texts):
-    from tabforge.llm.licenses import TEMPLATES
+def brute_licenses(texts, templates, family, size=5, least=0.8):
+    """Stretches of a template's shingles, verified one by one; the best of a family's overlapping ones stays."""
     word = re.compile(r"[^\W_](?:(?:[^\W_]|[.\-])*[^\W_])?")
+    cut = {name: word.findall(t.lower()) for name, t in templates.items()}
+    want = set()
+    for i, text in texts.items():
+        w = word.findall((text or "").lower())
+        places: dict[str, list] = {}
+        for name, t in cut.items():
+            k = min(size, len(t))
+            own = {tuple(t[j:j + k]) for j in range(len(t) - k + 1)}
+            hits = [j for j in range(len(w) - k + 1) if tuple(w[j:j + k]) in own]
+            stretch: list[int] = []
+            for j in [*hits, 10 ** 9]:
+                if stretch and j - stretch[-1] > len(t):
+                    share = len({tuple(w[x:x + k]) for x in stretch}) / len(own)
+                    if share >= least:
+                        places.setdefault(family(name), []).append((stretch[0], stretch[-1] + k, name, share, share * len(own)))
+                    stretch = []
+                stretch.append(j)
+        for found in places.values():
+            group, high = [], -1
+            for one in [*sorted(found), (10 ** 9, 0, "", 0, 0)]:
+                if group and one[0] >= high:
+                    want.add((i, min(group, key=lambda g: (-g[3], -g[4], g[2]))[2]))
+                    group = []
+                group.append(one)
+                high = max(high, one[1])
+    return want
 
-    def shingles(t, k):
-        w = word.findall((t or "").lower())
-        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
 
-    want = set()
-    for name, template in TEMPLATES.items():
-        k = min(5, len(word.findall(template.lower())))
-        own = shingles(template, k)
-        for i, t in texts.items():
-            if len(own & shingles(t, k)) >= 0.8 * len(own):
-                want.add((i, name))
+def test_op2_brute(spark, texts):
+    from tabforge.llm.licenses import TEMPLATES, family_of
+    want = brute_licenses(texts, TEMPLATES, family_of)
     assert {(r["doc_id"], r["license"]) for r in rows(spark, "op2_license_scans")} == want and want
+
+
+def test_op2_versions_and_stretches(spark):
+    """Versions of one licence, notices with changed words, and notices torn apart, against brute force."""
+    from tabforge.llm.licenses import TEMPLATES, family_of, scan_licenses
+    texts, i = {}, 0
+    for name, t in TEMPLATES.items():
+        w = t.split()
+        changed = [*w[:len(w) // 2], "otherwise", *w[len(w) // 2 + 1:]]
+        torn = [*w[:len(w) // 2], *["filler"] * 300, *w[len(w) // 2:]]
+        for form in (w, changed, torn, w[:-2], [*w, "between", "them", *TEMPLATES["GPL-3.0"].split()]):
+            i += 1
+            texts[i] = " ".join(["Some", "code.", *form, "And", "more."])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]) for r in scan_licenses(df).collect()}
+    assert got == brute_licenses(texts, TEMPLATES, family_of)
+    for n, name in enumerate(TEMPLATES):  # a whole notice is found under its own name alone
+        assert {x for d, x in got if d == 5 * n + 1} == {name}
+    table = spark.createDataFrame([("GPL-2.0", TEMPLATES["GPL-2.0"]), ("GPL-3.0", TEMPLATES["GPL-3.0"])], "license string, text string")
+    few = {n: TEMPLATES[n] for n in ("GPL-2.0", "GPL-3.0")}
+    assert {(r["doc_id"], r["license"]) for r in scan_licenses(df, table).collect()} == brute_licenses(texts, few, family_of)
