@@ -27,7 +27,7 @@ def rows(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     cols = [d[0] for d in cur.description]
