@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.common import as_list
 from tabforge.operators.quantiles import group_quantiles
+from tabforge.session import cut_lineage
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,11 +43,14 @@ def value_share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6, strategy: str = "auto") -> DataFrame:
-    """count/mean/std/min/quartiles/max per column, exact quartiles, long form."""
+    """count/mean/std/min/quartiles/max per column, exact quartiles, long form. The columns are
+    written once: every quantile reads them several times, and must not compute ``df`` anew for it."""
+    df = cut_lineage(df.select(*cols))
+    moments = df.agg(*[f.alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in (
+        ("count", F.count(c)), ("mean", F.avg(c)), ("std", F.stddev_samp(c)), ("min", F.min(c).cast("double")), ("max", F.max(c).cast("double")))])
     parts = []
-    for c in cols:
-        mom = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                     F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+    for i, c in enumerate(cols):
+        mom = moments.select(*[F.col(f"{x}{i}").alias(x) for x in ("count", "mean", "std", "min", "max")])
         q = group_quantiles(df, c, [0.25, 0.5, 0.75], None, ["p25", "p50", "p75"], strategy=strategy)
         parts.append(mom.crossJoin(q).select(F.lit(c).alias("column"), "*"))
     out = parts[0]
