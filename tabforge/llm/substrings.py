@@ -52,7 +52,7 @@ def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.n
     reach = window - gram + 1
     n = len(words) - window + 1
     place = np.arange(n)
-    step = 1 << 16  # bounds the scratch of long texts
+    step = 1 << 13  # bounds the scratch of long texts: argmin copies (step, reach) hashes
     for at in range(0, n, step):
         end = min(n, at + step)
         place[at:end] += np.lib.stride_tricks.sliding_window_view(grams[at:end + reach - 1], reach).argmin(axis=1)
@@ -111,10 +111,11 @@ def repeated_cells(docs: DataFrame, window: int, gram: int, log2: int) -> np.nda
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = None
         for batch in batches:
-            found = [anchors(word_hashes(t), window, gram)[0] for t in batch.column(0).to_pylist() if t]
-            if found:
-                planes = planes or Planes(log2)
-                planes.add(np.concatenate(found))
+            for start in range(0, batch.num_rows, 256):  # bounds what is unpacked at once; the worker stays alive for later stages
+                found = [anchors(word_hashes(t), window, gram)[0] for t in batch.column(0).slice(start, 256).to_pylist() if t]
+                if found:
+                    planes = planes or Planes(log2)
+                    planes.add(np.concatenate(found))
         for key, blob in planes.chunks() if planes else ():
             yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([blob], pa.binary())], names=["chunk", "plane"])
 
