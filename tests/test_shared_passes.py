@@ -80,3 +80,12 @@ def test_shared_sums_equal_those_of_each_fit():
         slack = np.maximum(1 - y * (z @ t.weights), 0)
         a = z[slack > 0]
         assert np.allclose(got, np.concatenate([[(slack ** 2).sum()], -2 * z.T @ (y * slack), (2 * a.T @ a).ravel()]), rtol=1e-9, atol=1e-6)
+
+
+def test_rules_of_forests_as_counts():
+    from tabforge.operators.models import _with_counts
+
+    got = _with_counts(ModelSpec("f", "forest", {"n_trees": 2, "min_samples_split": 5}), 8).params
+    assert got == {"n_trees": 2, "min_samples_split": 5, "max_features": 3, "min_samples_leaf": 3}
+    assert _with_counts(ModelSpec("f", "forest", {"max_features": "log2"}), 8).params["max_features"] == 3
+    assert _with_counts(ModelSpec("f", "forest", {"max_features": "all"}), 8).params["max_features"] == "all"
