@@ -10,6 +10,7 @@ from tabforge.operators.knn_masked import knn_impute_masked
 from tabforge.operators.quantiles import group_median
 from tabforge.plans.fixtures import base
 from tabforge.plans.registry import query
+from tabforge.session import cut_lineage
 
 KNN_FEATURES = ["klass_num", "n_sib", "n_par", "amount_bf"]
 
@@ -58,6 +59,6 @@ FROM x LEFT JOIN amount_a_fill a USING (id) LEFT JOIN amount_b_fill b USING (id)
 def q_j18_masked(spark, sf):
     x = base(spark, sf).withColumn("klass_num", F.substring("klass", 1, 1).cast("int"))
     x = dict_lookup(dict_lookup(x, "category", CATEGORY_CODES, "category_code"), "region", REGION_CODES, "region_code")
-    x = x.select("id", "origin", *MASKED_FEATURES)
+    x = cut_lineage(x.select("id", "origin", *MASKED_FEATURES))  # every step of the search reads it
     filled = knn_impute_masked(x, x.where("origin = 'train'"), "id", MASKED_FEATURES)
     return filled.select("id", *[F.round(c, 6).alias(c) for c in ("amount_a", "amount_b", "region_code")])
