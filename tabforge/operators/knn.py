@@ -45,8 +45,8 @@ def _positions(cells: DataFrame, pts: DataFrame, tie: int) -> DataFrame:
 
 
 def _top_k(pairs: DataFrame, k: int) -> DataFrame:
-    """Expand cell members, keep the k nearest donors per probe."""
-    x = pairs.select("_pid", "_d2", F.explode("members").alias("m")).select("_pid", "_d2", "m.i", "m.t")
+    """The k nearest donors per probe of the nearest of each bucket."""
+    x = pairs.select("_pid", F.explode("near").alias("m")).select("_pid", "m._d2", "m.i", "m.t")
     w = Window.partitionBy("_pid").orderBy("_d2", "i")
     return x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
 
@@ -88,14 +88,26 @@ def knn_impute(df: DataFrame, donors: DataFrame, id_col: str, target: str, featu
     probes = df.where(F.col(target).isNull()).select(F.col(id_col).alias("_pid"), *feats, proj().alias("_s"))
     probes = cut_lineage(probes.join(_positions(cells, probes, +1), "_pid"))
 
+    # a bucket is one row, so that a probe's distances stay within it and only its k nearest leave it
+    buckets = cells.groupBy("_bk").agg(F.collect_list(F.struct("members", *[F.col(c).cast("double").alias(f"c{j}") for j, c in enumerate(feats)])).alias("cells"))
+
     def pairs_for(p: DataFrame, bucket_ranges) -> DataFrame:
-        x = p.withColumn("_bk", F.explode(bucket_ranges))
-        j = x.join(cells.select("_bk", "members", *[F.col(c).alias(f"_c_{c}") for c in feats]), "_bk")
-        d2 = None
-        for c in feats:
-            term = F.pow(F.col(c).cast("double") - F.col(f"_c_{c}").cast("double"), 2)
-            d2 = term if d2 is None else d2 + term
-        return j.select("_pid", d2.alias("_d2"), "members")
+        """Probe and the k nearest members of each of its buckets."""
+        def compared(cell):
+            d2 = None
+            for j, c in enumerate(feats):
+                term = F.pow(F.col(c).cast("double") - cell[f"c{j}"], 2)
+                d2 = term if d2 is None else d2 + term
+            return F.struct(d2.alias("_d2"), cell["members"].alias("members"))
+
+        def spread(cell):
+            return F.transform(cell["members"], lambda m: F.struct(cell["_d2"].alias("_d2"), m["i"].alias("i"), m["t"].alias("t")))
+
+        x = p.select("_pid", *feats, F.explode(bucket_ranges).alias("_bk")).join(buckets, "_bk")
+        # the k nearest cells hold the k nearest members: a cell comes with its first member
+        first = F.transform("cells", compared)
+        first = F.slice(F.sort_array(first), 1, k)
+        return x.select("_pid", F.slice(F.sort_array(F.flatten(F.transform(first, spread))), 1, k).alias("near"))
 
     # round 1: own bucket and neighbours
     b0 = F.floor(F.greatest(F.col("_pos") - 1, F.lit(0)) / m)

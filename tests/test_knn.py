@@ -44,3 +44,20 @@ def test_knn_discrete_features_with_ties(spark):
             x = np.array(r[2:])
             d = sorted(((float(((x - v) ** 2).sum()), i, t) for i, t, v in donors))[:5]
             assert abs(got[r[0]] - sum(t for _, _, t in d) / 5) < 1e-9
+
+
+def test_only_the_nearest_of_a_bucket_leave_it(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tabforge.operators import knn
+    seen, top_k = [], knn._top_k
+
+    def counted(pairs, k):
+        seen.append(pairs.agg(F.max(F.size("near")).alias("most"), F.count("_pid").alias("rows")).first())
+        return top_k(pairs, k)
+
+    monkeypatch.setattr(knn, "_top_k", counted)
+    df = spark.range(3_000).select("id", F.when(F.col("id") % 5 > 0, F.rand(1) * 9).alias("t"), (F.rand(2) * 1e4).alias("a"), (F.col("id") % 3).alias("b"))
+    out = knn.knn_impute(df, df, "id", "t", ["a", "b"], k=5)
+    assert out.where("t IS NULL").count() == 0
+    assert seen[0]["most"] == 5 and seen[0]["rows"] <= 3 * 600  # 96 cells of a probe before
