@@ -77,3 +77,25 @@ def test_a_block_of_many_rows_counts_exactly(spark):
     got = finder._added(np.array([1, 1]), [s for s, _ in finder.channels], 4)
     assert [int(x[1]) for x in got] == [int(n.sum()), int((n * g).sum()), int((n * 7).sum())]
     assert int(whole._whole_sums(np.array([0, 0]), n * g, 1, 1 << 25)[0]) == int((n * g).sum())
+
+
+def test_a_frame_is_packed_once_for_all_that_share_it(spark, frame, monkeypatch):
+    from tabforge.operators.models import fit, oof_predictions, train_score
+
+    made, bin_edges = [], blocks.bin_edges
+    monkeypatch.setattr(blocks, "bin_edges", lambda *a: made.append(a) or bin_edges(*a))
+    spec, linear, some = ModelSpec("g", "gbt", {"n_rounds": 3}), ModelSpec("lr", "logreg", {"C": 1.0}), ["c", "b"]
+
+    def tables():
+        oof = oof_predictions(frame, spec, some).collect(), oof_predictions(frame, linear, some).collect()
+        return sorted(oof[0]), [(r["id"], round(r["proba"], 9)) for r in sorted(oof[1])], train_score(spec, frame, some).collect(), fit(spec, frame, some).weights.tolist()
+
+    alone = tables()
+    assert len(made) == 3
+    with blocks.packed_once(frame, some, ["fold"]):
+        assert tables() == alone and len(made) == 4
+        with pytest.raises(Exception, match="null"):  # another list of features is packed by itself
+            fit(spec, frame, ["a", "b"])
+    with blocks.packed_once(frame, FEATURES, ["fold"]), pytest.raises(Exception, match="null"):
+        fit(spec, frame, FEATURES)
+    assert not blocks._SHARED
