@@ -99,3 +99,19 @@ def test_a_frame_is_packed_once_for_all_that_share_it(spark, frame, monkeypatch)
     with blocks.packed_once(frame, FEATURES, ["fold"]), pytest.raises(Exception, match="null"):
         fit(spec, frame, FEATURES)
     assert not blocks._SHARED
+
+
+def test_votes_leave_the_blocks_as_a_row_an_id(spark, frame):
+    """Two rows of each id, in the same fold or not: their votes are one ballot where fold and label agree. Computed from all predictions."""
+    packed = blocks.pack(frame, ["c", "b"], ["fold", "other"])
+    specs = [ModelSpec("f", "forest", {"n_trees": 3, "max_depth": 3}), ModelSpec("g", "gbt", {"n_rounds": 3}), ModelSpec("lr", "logreg", {"C": 1.0})]
+    own = [f for s in specs for f in (fits.Fit(s, (0, 1), (("fold", 1),)), fits.Fit(s, (0, 1), (("other", 2),)), fits.Fit(s, (0, 1)))]
+    fitted = fits.fit_all(packed, own)
+    got = {r["fit"]: (r["n"], r["hits"]) for r in fits.ballots(packed, fitted).collect()}
+    cast = {}
+    for r in fits.predictions(packed, fitted).collect():
+        cast.setdefault((r["fit"] % 3, r["id"], r["label"]), []).append(r["proba"] >= 0.5)
+    want = {i: [int((2 * sum(v) > len(v)) == bool(k[2])) for k, v in cast.items() if k[0] == i] for i in range(3)}
+    assert got == {i: (len(w), sum(w)) for i, w in want.items()}
+    shapes = [fits.ballots(packed, fits.Fitted(own[:k], fitted.models[:k]))._jdf.queryExecution().optimizedPlan().toString() for k in (3, 9)]
+    assert all("Join" not in s and "Expand" not in s for s in shapes)
